@@ -15,7 +15,6 @@ from pyspark.ml.feature import StandardScalerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
 from covey.errors import TooFewRowsForSweep
 from covey.functions.columns import column
@@ -23,7 +22,7 @@ from covey.operators.preparation import VECTOR
 from covey.params import Params
 
 PREDICTION = "prediction"
-_CELLS_PER_PARTITION = 400_000
+_CELLS_PER_PARTITION = 200_000
 
 
 def canonical_layout(df: DataFrame, rows: int, width: int) -> DataFrame:
@@ -34,8 +33,11 @@ def canonical_layout(df: DataFrame, rows: int, width: int) -> DataFrame:
     Rows are hashed by all their columns: distinct rows spread evenly.
     """
     keys = [column(name) for name in df.columns]
-    partitions = max(1, math.ceil(rows * width / _CELLS_PER_PARTITION))
-    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+    return df.repartition(canonical_partitions(rows, width), *keys).sortWithinPartitions(*keys)
+
+
+def canonical_partitions(rows: int, width: int) -> int:
+    return max(1, math.ceil(rows * width / _CELLS_PER_PARTITION))
 
 
 def fit_kmeans(prepared: DataFrame, k: int, seed: int) -> KMeansModel:
@@ -89,28 +91,24 @@ def best_of(scores: DataFrame) -> DataFrame:
     )
 
 
-def sweep(prepared: DataFrame, rows: int, params: Params) -> Sweep:
+def sweep(prepared: DataFrame, rows: int, width: int, params: Params) -> Sweep:
     """Fit and score every k from ``k_min`` to ``min(k_max, rows - 1)``.
 
-    The vectors are cached for the sweep and released at its end. Fits are independent, so some
-    run at a time, each under its own job group: one fit on a capped sample has far too few
-    tasks to fill a cluster.
+    ``prepared`` should be cheap to read again, such as a row-local view of a cached frame: every
+    fit keeps its own vectors in memory and releases them. Fits are independent, so some run at a
+    time, each under its own job group: one fit on a capped sample has far too few tasks to fill
+    a cluster. On data with more partitions than that they run one by one.
     """
     k_max = min(params.k_max, rows - 1)
     if k_max < params.k_min:
         raise TooFewRowsForSweep(rows, params.k_min)
-    ks = range(params.k_min, k_max + 1)
+    # The largest k takes longest, so it starts first.
+    ks = range(k_max, params.k_min - 1, -1)
     spark = prepared.sparkSession
-    vectors = prepared.select(VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        vectors.count()
-        fit = inheritable_thread_target(spark)(
-            functools.partial(_fit_and_score, vectors, params)
-        )
-        with ThreadPool(min(params.sweep_parallelism, len(ks))) as pool:
-            results = pool.map(fit, ks, chunksize=1)
-    finally:
-        vectors.unpersist()
+    vectors = prepared.select(VECTOR)
+    fit = inheritable_thread_target(spark)(functools.partial(_fit_and_score, vectors, params))
+    with ThreadPool(_fits_at_a_time(spark, rows, width, len(ks), params)) as pool:
+        results = sorted(pool.map(fit, ks, chunksize=1), key=lambda r: r[0])
     models = {k: model for k, model, _ in results}
     scores = spark.createDataFrame([(k, score) for k, _, score in results], "k int, score double")
     best = best_of(scores).first()
@@ -119,6 +117,14 @@ def sweep(prepared: DataFrame, rows: int, params: Params) -> Sweep:
     return Sweep(scores, best.k, best.score, models[best.k])
 
 
+def _fits_at_a_time(
+    spark: SparkSession, rows: int, width: int, fits: int, params: Params
+) -> int:
+    # A few tasks per core keep the cores busy between the short stages of an iteration.
+    room = 4 * spark.sparkContext.defaultParallelism // canonical_partitions(rows, width)
+    return max(1, min(params.sweep_parallelism, fits, room))
+
+
 def _fit_and_score(
     vectors: DataFrame, params: Params, k: int
 ) -> tuple[int, KMeansModel, float]:

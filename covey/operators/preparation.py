@@ -67,7 +67,9 @@ def fit_imputer(
     model = Imputer(strategy="mean", inputCols=names, outputCols=outputs).fit(
         df.sparkSession.createDataFrame([row], schema)
     )
-    return model.set(model.strategy, "median").set(model.relativeError, 0.0)
+    model.set(model.strategy, "median")
+    model.set(model.relativeError, 0.0)
+    return model
 
 
 def assemble(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -44,4 +44,4 @@ class Params:
     relative_error: float = 0.001
     sample_method: str = "hash"
     nonfinite_as_null: bool = True
-    sweep_parallelism: int = 4
+    sweep_parallelism: int = 8

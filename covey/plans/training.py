@@ -94,7 +94,7 @@ def train_on(
         preparation = fit_preparation(
             laid_out, features, params.imputer_strategy, params.relative_error
         )
-        found = sweep(preparation.transform(laid_out), rows, params)
+        found = sweep(preparation.transform(laid_out), rows, len(features), params)
     finally:
         laid_out.unpersist()
     if found.best_model is None:
