@@ -260,18 +260,18 @@ def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def capped_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.capped_sample(table(spark, sf_dir, "lineitem"), 1_000, seed=42)
+    return sampling.capped_sample(table(spark, sf_dir, "lineitem"), 1_000, seed=42, method="md5")
 
 
 def capped_sample_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select("l_quantity", "l_discount", "l_returnflag")
-    return sampling.capped_sample(rows, 500, seed=42, distinct=True)
+    return sampling.capped_sample(rows, 500, seed=42, distinct=True, method="md5")
 
 
 def capped_sample_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From rows that repeat often, copies included."""
     rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber")
-    return sampling.capped_sample(rows, 5_000, seed=42)
+    return sampling.capped_sample(rows, 5_000, seed=42, method="md5")
 
 
 # --- preparation ---------------------------------------------------------------------------

@@ -18,23 +18,3 @@ def finite(value: Column, dtype: T.DataType) -> Column:
         return value
     # abs(NaN) < inf is false in Spark, where NaN sorts above every number.
     return F.when(F.abs(value) < F.lit(float("inf")), value)
-
-
-def content_key(names_and_types: list[tuple[str, T.DataType]], seed: int) -> Column:
-    """md5 of a row's content and a seed, as 32 hex digits.
-
-    It depends on nothing but the values, so it is the same whatever the file layout, the
-    partitioning or the number of task retries. Every value carries its length, so two different
-    rows never spell the same text. -0.0 is keyed as 0.0, as grouping sees them.
-    """
-    parts = [F.lit(str(seed))]
-    for name, dtype in names_and_types:
-        value = column(name)
-        if isinstance(dtype, (T.DoubleType, T.FloatType)):
-            value = F.when(value == 0, F.lit(0.0).cast(dtype)).otherwise(value)
-        if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-            value = F.to_json(F.struct(value))
-        text = value.cast("string")
-        # A null adds an empty part, an empty string adds "0:".
-        parts.append(F.concat_ws(":", F.length(text).cast("string"), text))
-    return F.md5(F.concat_ws("|", *parts))

@@ -37,7 +37,7 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.lit(name).alias("column_name"),
             F.col("n"),
             F.col(f"non_null_{i}").alias("non_null"),
-            (F.col(f"non_null_{i}") / F.col("n")).alias("ratio"),
+            F.try_divide(f"non_null_{i}", "n").alias("ratio"),
             F.col(f"std_{i}").alias("std"),
         )
         for i, name in enumerate(columns)

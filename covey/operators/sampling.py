@@ -7,7 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from covey.functions.columns import column, content_key
+from covey.functions.columns import column
+from covey.functions.keys import ContentKey
 from covey.sources.shared import materialise
 
 _KEY = "__content_key"
@@ -32,77 +33,71 @@ def capped_sample(
     seed: int,
     total_rows: int | None = None,
     distinct: bool = False,
-    method: str = "hash",
+    method: str = "xxhash64",
 ) -> DataFrame:
     """At most ``target_n`` rows of ``df``, of its distinct rows if ``distinct``.
 
-    ``hash``
-        exactly the ``target_n`` rows with the smallest content key. The choice depends on row
+    ``xxhash64``, ``md5``
+        exactly the ``target_n`` rows with the smallest ``ContentKey``. The choice depends on row
         content and seed alone, so a recomputed partition can never change it.
     ``bernoulli``
         independent draws, then a limit; may return fewer, and depends on the partitioning.
+
+    Unless it is ``df`` itself, the result reads a written table.
     """
     if method == "bernoulli":
-        rows = distinct_rows(df) if distinct else df
-        total = rows.count()
-        if total <= target_n:
-            return rows
-        return rows.sample(False, target_n / total, seed).limit(target_n)
-    if method != "hash":
-        raise ValueError(f"unknown sampling method {method!r}")
-
+        return _bernoulli(df, target_n, seed, distinct)
+    key = ContentKey(df.schema, seed, method)
     total = df.count() if total_rows is None else total_rows
     if total <= target_n:
-        return distinct_rows(df) if distinct else df
+        return materialise(distinct_rows(df), "distinct") if distinct else df
 
-    names = df.columns
-    candidates = _candidates(df, target_n, seed, total, distinct)
+    candidates = _candidates(df, target_n, total, key, distinct)
     last_key, wanted_of_last = _cut(candidates, target_n)
-    if last_key is None:
-        copies = F.col(_COPIES)
-    else:
+    copies = F.col(_COPIES)
+    if last_key is not None:
         candidates = candidates.where(F.col(_KEY) <= last_key)
-        copies = F.when(F.col(_KEY) < last_key, F.col(_COPIES)).otherwise(F.lit(wanted_of_last))
-    rows = [column(name) for name in names]
-    if distinct:
-        return candidates.select(*rows)
-    return _repeated(candidates, copies).select(*rows)
+        copies = F.when(F.col(_KEY) < last_key, copies).otherwise(F.lit(wanted_of_last))
+    if not distinct:
+        candidates = _repeated(candidates, copies)
+    return candidates.select(*[column(name) for name in df.columns])
+
+
+def _bernoulli(df: DataFrame, target_n: int, seed: int, distinct: bool) -> DataFrame:
+    # Draws go by the order of rows, so both steps are written down before they are read again.
+    rows = materialise(distinct_rows(df), "distinct") if distinct else df
+    total = rows.count()
+    if total <= target_n:
+        return rows
+    return materialise(rows.sample(False, target_n / total, seed).limit(target_n), "sample")
 
 
 def _candidates(
-    df: DataFrame, target_n: int, seed: int, total: int, distinct: bool
+    df: DataFrame, target_n: int, total: int, key: ContentKey, distinct: bool
 ) -> DataFrame:
     """A written table of distinct rows, with key and number of copies, that holds at least the
     ``target_n`` smallest keys (or every row, where there are fewer).
 
     Keys are uniform, so a threshold on the key finds them while shuffling little more than
     ``target_n`` rows of an input of any size. Where copies are common the first threshold
-    brings in too few distinct rows; the share found says how far to raise it.
+    brings in too few distinct rows; the share found says how far to raise it. Copies are
+    counted before the shuffle, so a row that fills a third of the table stays one row.
     """
-    key = content_key([(f.name, f.dataType) for f in df.schema.fields], seed)
     # Distinct rows below the threshold vary by the square root of their number.
     enough = target_n + 6 * math.sqrt(target_n) + 10
     share = enough / total
+    names = [column(name) for name in df.columns]
+    copies = F.lit(1).cast("long") if distinct else F.count("*")
     while True:
-        below = df if share >= 1 else df.where(key < _threshold(share))
-        collapsed = (
-            below.groupBy(*[column(name) for name in df.columns])
-            .agg(F.count("*").alias(_COPIES))
-            .withColumn(_KEY, key)
-        )
-        if distinct:
-            collapsed = collapsed.withColumn(_COPIES, F.lit(1).cast("long"))
-        table = materialise(collapsed, "sample")
+        below = df if share >= 1 else df.where(key.below(share))
+        collapsed = below.groupBy(*names).agg(copies.alias(_COPIES))
+        table = materialise(collapsed.withColumn(_KEY, key.text()), "sample")
         found = table.agg(F.coalesce(F.sum(_COPIES), F.lit(0))).first()[0]
         if share >= 1 or found >= target_n:
             return table
         share *= max(2.0, 1.05 * enough / found if found else 16.0)
 
 
-def _threshold(share: float) -> str:
-    return format(int(share * 2**64), "016x")
-
-
 def _cut(candidates: DataFrame, target_n: int) -> tuple[str | None, int]:
     """The largest key to keep and how many of its copies; ``(None, 0)`` to keep everything.
 

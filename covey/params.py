@@ -42,6 +42,6 @@ class Params:
     numeric_types: tuple[type, ...] = NUMERIC_TYPES
 
     relative_error: float = 0.001
-    sample_method: str = "hash"
+    sample_method: str = "xxhash64"
     nonfinite_as_null: bool = True
     sweep_parallelism: int = 8

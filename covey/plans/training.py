@@ -27,7 +27,6 @@ from covey.sinks import collections as names
 from covey.sinks.collections import CollectionStore, stamped
 from covey.sinks.files import write_csv_parts, write_json_document, write_single_csv
 from covey.sinks.models import FittedModel, save_model
-from covey.sources.shared import materialise
 from covey.sources.tables import read_parquet
 
 METRICS_SCHEMA = T.StructType(
@@ -148,7 +147,7 @@ def working_table(
     aligned = align(
         raw, features, product_cols, params.name_column, params.nonfinite_as_null
     )
-    sample = capped_sample(
+    return capped_sample(
         aligned,
         total if params.target_n is None else params.target_n,
         params.seed,
@@ -156,7 +155,6 @@ def working_table(
         distinct=True,
         method=params.sample_method,
     )
-    return materialise(sample, "working")
 
 
 def run_training(
