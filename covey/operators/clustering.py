@@ -106,9 +106,13 @@ def sweep(prepared: DataFrame, rows: int, width: int, params: Params) -> Sweep:
     ks = range(k_max, params.k_min - 1, -1)
     spark = prepared.sparkSession
     vectors = prepared.select(VECTOR)
-    fit = inheritable_thread_target(spark)(functools.partial(_fit_and_score, vectors, params))
+    # Wrapped one by one: each wrap copies the local properties, job group among them.
+    fits = [
+        inheritable_thread_target(spark)(functools.partial(_fit_and_score, vectors, params, k))
+        for k in ks
+    ]
     with ThreadPool(_fits_at_a_time(spark, rows, width, len(ks), params)) as pool:
-        results = sorted(pool.map(fit, ks, chunksize=1), key=lambda r: r[0])
+        results = sorted(pool.map(lambda fit: fit(), fits, chunksize=1), key=lambda r: r[0])
     models = {k: model for k, model, _ in results}
     scores = spark.createDataFrame([(k, score) for k, _, score in results], "k int, score double")
     best = best_of(scores).first()

@@ -16,6 +16,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from covey.functions.columns import column
 from covey.operators.medians import exact_lower_medians
 
 # The names of the derived columns.
@@ -34,11 +35,23 @@ class Preparation:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Row-local: adds ``<c>_imp``, ``features_raw`` and ``features``."""
-        return self.scaler.transform(assemble(self.imputer.transform(df), self.feature_cols))
+        filled = self.imputer.transform(with_stage_columns(df, self.feature_cols))
+        return self.scaler.transform(assemble(filled, self.feature_cols))
+
+
+def stage_columns(columns: Sequence[str]) -> list[str]:
+    """The names ML stages know the columns by: their own, unless a stage would read the name as
+    a path into a struct."""
+    return [f"feature_{i}" if "." in c or "`" in c else c for i, c in enumerate(columns)]
+
+
+def with_stage_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    renamed = {s: column(c) for s, c in zip(stage_columns(columns), columns) if s != c}
+    return df.withColumns(renamed) if renamed else df
 
 
 def imputed(columns: Sequence[str]) -> list[str]:
-    return [c + IMPUTED_SUFFIX for c in columns]
+    return [c + IMPUTED_SUFFIX for c in stage_columns(columns)]
 
 
 def fit_imputer(
@@ -53,7 +66,8 @@ def fit_imputer(
     would gather whole columns, so ``relative_error=0`` takes exact medians by another route and
     fits the same stage on the one row of them.
     """
-    names, outputs = list(columns), imputed(columns)
+    df = with_stage_columns(df, columns)
+    names, outputs = stage_columns(columns), imputed(columns)
     if strategy != "median" or relative_error > 0:
         return Imputer(
             strategy=strategy,
@@ -92,5 +106,6 @@ def fit_preparation(
 ) -> Preparation:
     """Two passes over ``df``: one for the surrogates, one for the scaling."""
     imputer = fit_imputer(df, columns, strategy, relative_error)
-    scaler = fit_scaler(assemble(imputer.transform(df), columns))
+    filled = imputer.transform(with_stage_columns(df, columns))
+    scaler = fit_scaler(assemble(filled, columns))
     return Preparation(list(columns), imputer, scaler)

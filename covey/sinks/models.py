@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from covey.errors import MissingModel
-from covey.operators.preparation import Preparation
+from covey.operators.preparation import Preparation, imputed
 from covey.sinks.files import path_exists, write_json_document
 
 # Directory and file names, and the manifest's fields, of a saved model.
@@ -71,7 +71,7 @@ def manifest_frame(spark: SparkSession, model: FittedModel, root: str) -> DataFr
         "best_score": model.best_score,
         "metric_name": model.metric_name,
         "feature_cols": model.feature_cols,
-        "imputed_cols": [f"{c}_imp" for c in model.feature_cols],
+        "imputed_cols": imputed(model.feature_cols),
         "product_cols": model.product_cols,
         "input_path": model.input_path,
         "artifacts": model_paths(root),

@@ -12,7 +12,7 @@ from covey import Params, TrainingOutputs, errors, run_scoring, run_training, sc
 from covey.operators import clustering, preparation, profiles
 from covey.plans.wordcount import word_count_job
 from covey.sinks.collections import CollectionStore
-from covey.sinks.models import load_model
+from covey.sinks.models import load_model, save_model
 
 PARAMS = Params(k_max=4)
 
@@ -98,6 +98,22 @@ def test_target_n_caps_the_working_rows(products):
     assert train(products, Params(k_max=2, target_n=None)).metrics.first().rows_working == 600
 
 
+def test_names_that_look_like_paths(spark, products, tmp_path):
+    odd = products.selectExpr("product_name", "size AS `a.b`", "price AS `c``d`", "size AS `e f`")
+    trained = train(odd, Params(k_max=2, relative_error=0.0))
+    assert trained.profiles.columns == ["prediction", "n", "a.b", "c`d", "e f"]
+    save_model(spark, trained.model, str(tmp_path / "m"))
+    scored = score(odd, load_model(spark, str(tmp_path / "m")))
+    assert sorted(map(str, scored.collect())) == sorted(map(str, trained.assignments.collect()))
+
+
+def test_every_k_has_its_job_group(spark, products):
+    train(products, PARAMS)
+    for k in (2, 3, 4):
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup(f"kmeans-k-{k}")
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+
+
 def test_too_few_rows(spark, products):
     with pytest.raises(errors.TooFewRows):
         train(products, Params(target_n=9))

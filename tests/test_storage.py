@@ -77,6 +77,11 @@ def test_store(spark, tmp_path, fmt):
         store.read("things", schema=df.schema)
 
 
+def test_connector_formats_take_no_path(spark):
+    store = CollectionStore(spark, None, "noop", {"batch": "1000"})
+    store.append("things", spark.range(3))
+
+
 def test_projected_read_is_pruned(spark, tmp_path):
     store = CollectionStore(spark, str(tmp_path))
     store.replace("things", spark.range(5).selectExpr("id", "id AS other"))
