@@ -410,12 +410,8 @@ def _fitted(
 ) -> tuple[DataFrame, preparation.Preparation, KMeansModel]:
     """The distinct rows prepared, and a model of ``k`` clusters over all of them."""
     table_ = materialise(sampling.distinct_rows(rows), "distinct")
-    laid_out = clustering.canonical_layout(table_, table_.count(), len(columns)).persist()
-    try:
-        fitted = preparation.fit_preparation(laid_out, columns, "mean")
-        model = clustering.fit_kmeans(fitted.transform(laid_out), k, seed=42)
-    finally:
-        laid_out.unpersist()
+    fitted, vectors = clustering.training_vectors(table_, table_.count(), columns, "mean", 0.001)
+    model = clustering.fit_kmeans(vectors, k, seed=42)
     return fitted.transform(table_), fitted, model
 
 

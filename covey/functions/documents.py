@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from covey.functions.columns import column, finite
 
 _INSTANTS = (T.TimestampType, T.TimestampNTZType)
+_WHOLE_SECONDS = len("2020-01-02T03:04:05")
+_MICROSECONDS = len("2020-01-02T03:04:05.678901")
 
 
 def as_documents(df: DataFrame) -> DataFrame:
@@ -47,10 +49,9 @@ def document_value(value: Column, dtype: T.DataType) -> Column:
 
 def iso_instant(value: Column) -> Column:
     """``2020-01-02T03:04:05``, with six fraction digits only where the fraction is not zero."""
-    return F.concat(
-        F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss"),
-        F.regexp_replace(F.date_format(value, ".SSSSSS"), r"^\.000000$", ""),
-    )
+    # Spark's own text has a space for the T and drops trailing zeros of the fraction.
+    text = F.translate(value.cast("string"), " ", "T")
+    return F.when(F.length(text) > _WHOLE_SECONDS, F.rpad(text, _MICROSECONDS, "0")).otherwise(text)
 
 
 def _needs_rewrite(dtype: T.DataType) -> bool:

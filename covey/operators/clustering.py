@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 
 from covey.errors import TooFewRowsForSweep
 from covey.functions.columns import column
-from covey.operators.preparation import VECTOR
+from covey.operators.preparation import VECTOR, Preparation, fit_preparation
 from covey.params import Params
+from covey.sources.shared import checkpointed
 
 PREDICTION = "prediction"
 _CELLS_PER_PARTITION = 200_000
@@ -40,8 +41,21 @@ def canonical_partitions(rows: int, width: int) -> int:
     return max(1, math.ceil(rows * width / _CELLS_PER_PARTITION))
 
 
-def fit_kmeans(prepared: DataFrame, k: int, seed: int) -> KMeansModel:
-    return KMeans(featuresCol=VECTOR, predictionCol=PREDICTION, k=k, seed=seed).fit(prepared)
+def training_vectors(
+    df: DataFrame, rows: int, columns: Sequence[str], strategy: str, relative_error: float
+) -> tuple[Preparation, DataFrame]:
+    """Fit the preparation on ``df`` in its canonical layout; the vectors to cluster, checkpointed
+    in that layout."""
+    laid_out = canonical_layout(df, rows, len(columns)).persist()
+    try:
+        preparation = fit_preparation(laid_out, columns, strategy, relative_error)
+        return preparation, checkpointed(preparation.transform(laid_out).select(VECTOR))
+    finally:
+        laid_out.unpersist()
+
+
+def fit_kmeans(vectors: DataFrame, k: int, seed: int) -> KMeansModel:
+    return KMeans(featuresCol=VECTOR, predictionCol=PREDICTION, k=k, seed=seed).fit(vectors)
 
 
 def silhouette(
@@ -91,21 +105,20 @@ def best_of(scores: DataFrame) -> DataFrame:
     )
 
 
-def sweep(prepared: DataFrame, rows: int, width: int, params: Params) -> Sweep:
+def sweep(vectors: DataFrame, rows: int, width: int, params: Params) -> Sweep:
     """Fit and score every k from ``k_min`` to ``min(k_max, rows - 1)``.
 
-    ``prepared`` should be cheap to read again, such as a row-local view of a cached frame: every
-    fit keeps its own vectors in memory and releases them. Fits are independent, so some run at a
-    time, each under its own job group: one fit on a capped sample has far too few tasks to fill
-    a cluster. On data with more partitions than that they run one by one.
+    ``vectors`` should be cheap to read again: every fit keeps them in memory for its own time.
+    Fits are independent, so some run at a time, each under its own job group: one fit on a capped
+    sample has far too few tasks to fill a cluster. On data with more partitions than that they
+    run one by one.
     """
     k_max = min(params.k_max, rows - 1)
     if k_max < params.k_min:
         raise TooFewRowsForSweep(rows, params.k_min)
     # The largest k takes longest, so it starts first.
     ks = range(k_max, params.k_min - 1, -1)
-    spark = prepared.sparkSession
-    vectors = prepared.select(VECTOR)
+    spark = vectors.sparkSession
     # Wrapped one by one: each wrap copies the local properties, job group among them.
     fits = [
         inheritable_thread_target(spark)(functools.partial(_fit_and_score, vectors, params, k))

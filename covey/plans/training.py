@@ -14,12 +14,11 @@ from covey.functions.documents import as_documents
 from covey.functions.flatten import name_columns
 from covey.operators.clustering import (
     PREDICTION,
-    canonical_layout,
     centers_in_original_units,
     sweep,
+    training_vectors,
 )
 from covey.operators.features import align, select_features
-from covey.operators.preparation import fit_preparation
 from covey.operators.profiles import cluster_profiles
 from covey.operators.sampling import capped_sample
 from covey.params import Params
@@ -88,14 +87,10 @@ def train_on(
     if rows < params.min_rows:
         raise TooFewRows(rows, params.min_rows)
 
-    laid_out = canonical_layout(working, rows, len(features)).persist()
-    try:
-        preparation = fit_preparation(
-            laid_out, features, params.imputer_strategy, params.relative_error
-        )
-        found = sweep(preparation.transform(laid_out), rows, len(features), params)
-    finally:
-        laid_out.unpersist()
+    preparation, vectors = training_vectors(
+        working, rows, features, params.imputer_strategy, params.relative_error
+    )
+    found = sweep(vectors, rows, len(features), params)
     if found.best_model is None:
         raise ValueError("no number of clusters reached a usable score")
 
