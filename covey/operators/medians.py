@@ -42,14 +42,13 @@ def exact_lower_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, floa
     count grows with the logarithm of the input; once few enough values are left, they are
     ranked. A value repeated in many rows closes its bracket at once.
     """
-    brackets = _whole_columns(df, columns)
-    while True:
-        wide = [b for b in brackets if not b.found and b.inside > _RANKED_IN_ONE_TASK]
-        if not wide:
-            break
-        _narrow(df, wide)
-    rest = [b for b in brackets if not b.found]
-    if rest:
+    brackets, proposals = _whole_columns(df, columns)
+    while wide := [b for b in brackets if not b.found and b.inside > _RANKED_IN_ONE_TASK]:
+        if not proposals:
+            proposals = _proposed(df, wide)
+        _narrow(df, wide, proposals)
+        proposals = {}
+    if rest := [b for b in brackets if not b.found]:
         _ranked(df, rest)
     medians: dict[str, float | None] = dict.fromkeys(columns)
     medians.update({b.name: b.low for b in brackets})
@@ -61,39 +60,54 @@ def _valid(name: str) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def _whole_columns(df: DataFrame, columns: Sequence[str]) -> list[_Bracket]:
-    bounds = df.agg(
+def _whole_columns(
+    df: DataFrame, columns: Sequence[str]
+) -> tuple[list[_Bracket], dict[str, list[float]]]:
+    """Every column that has a valid value, unbracketed, and a first proposal for each."""
+    around = [0.5 - _Bracket.slack, 0.5 + _Bracket.slack]
+    whole = df.agg(
         *[
-            F.struct(F.min(_valid(c)), F.max(_valid(c)), F.count(_valid(c))).alias(str(i))
+            F.struct(
+                F.min(_valid(c)),
+                F.max(_valid(c)),
+                F.count(_valid(c)),
+                F.percentile_approx(_valid(c), around, _ACCURACY),
+            ).alias(str(i))
             for i, c in enumerate(columns)
         ]
     ).first()
-    return [
-        _Bracket(name, low, high, (n + 1) // 2, n)
-        for name, (low, high, n) in zip(columns, bounds)
-        if n > 0
-    ]
+    brackets, proposals = [], {}
+    for name, (low, high, n, proposal) in zip(columns, whole):
+        if n > 0:
+            brackets.append(_Bracket(name, low, high, (n + 1) // 2, n))
+            proposals[name] = proposal
+    return brackets, proposals
 
 
-def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
+def _proposed(df: DataFrame, brackets: list[_Bracket]) -> dict[str, list[float]]:
     sketches = df.agg(
         *[
             F.percentile_approx(b.value(), _around(b), _ACCURACY).alias(str(i))
             for i, b in enumerate(brackets)
         ]
     ).first()
+    return {b.name: sketch for b, sketch in zip(brackets, sketches)}
+
+
+def _narrow(df: DataFrame, brackets: list[_Bracket], proposals: dict[str, list[float]]) -> None:
     counts = df.agg(
         *[
             F.struct(
-                F.count(F.when(b.value() < low, True)),
-                F.count(F.when(b.value().between(low, high), True)),
+                F.count(F.when(b.value() < proposals[b.name][0], True)),
+                F.count(F.when(b.value().between(*proposals[b.name]), True)),
             ).alias(str(i))
-            for i, (b, (low, high)) in enumerate(zip(brackets, sketches))
+            for i, b in enumerate(brackets)
         ]
     ).first()
-    for b, (low, high), (below, inside) in zip(brackets, sketches, counts):
+    for b, (below, inside) in zip(brackets, counts):
         if below < b.rank <= below + inside:
-            b.low, b.high, b.rank, b.inside = low, high, b.rank - below, inside
+            b.low, b.high = proposals[b.name]
+            b.rank, b.inside = b.rank - below, inside
         else:
             # The sketch missed: look wider, up to the whole bracket.
             b.slack = min(1.0, b.slack * 4)
