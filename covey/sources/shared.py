@@ -2,33 +2,34 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder. Without one, only a local master may use a temporary
-    folder of this machine."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's checkpoint folder: ``spark.checkpoint.dir``, else the one set on the
+    context, else a folder of the default Hadoop file system."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_scratch()
-    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-
-
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="covey-")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.get(
+        spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    return f"{hadoop.getUri().toString().rstrip('/')}/tmp/covey-shared"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/covey/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
@@ -43,7 +44,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` read from a checkpoint, with its partitions and their order kept and nothing of
-    its history left to plan, ship or repeat: for what an iterative fit goes over many times."""
+    its history left to plan, ship or repeat: for what an iterative fit goes over many times.
+
+    A context without a checkpoint folder gets the shared one, and keeps it."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
