@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from covey.llm import bpe
+from covey.llm import bpe, langid, ngrams
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -19,5 +20,17 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(docs, BYTE_BPE, public_tokenizers.PATTERN))
 
 
-QUERIES = [op2_byte_bpe]
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return langid.predict(docs.select("doc_id", "text"), langid.fit(docs)).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.jaccard_classes(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = [op2_byte_bpe, op5_language_id, op7_ngram_jaccard]
 ORACLES: dict[str, str] = {}
