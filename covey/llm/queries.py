@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covey.llm import bpe, langid, ngrams
+from covey.llm import bpe, langid, ngrams, suffixes
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -28,9 +28,15 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op2_byte_bpe, op5_language_id, op7_ngram_jaccard]
+QUERIES = [op2_byte_bpe, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard]
 ORACLES: dict[str, str] = {}
