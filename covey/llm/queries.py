@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covey.llm import bpe, langid, ngrams, suffixes
+from covey.llm import bpe, fmindex, langid, ngrams, suffixes
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -38,5 +38,11 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op2_byte_bpe, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard]
+def op9_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fmindex.remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+QUERIES = [op2_byte_bpe, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard, op9_fm_index]
 ORACLES: dict[str, str] = {}
