@@ -39,6 +39,9 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _VALUE[_SPACE] = 0
+#: Bytes between words, where words are runs of letters and digits: the rest of ASCII.
+_OTHER = np.ones(256, bool)
+_OTHER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,8 +72,10 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    inside = ~_SPACE[data]
+def find_words(data: np.ndarray, offsets: np.ndarray, alnum: bool = False) -> Words:
+    """Words between white space, or with ``alnum`` runs of ASCII letters, digits and any other
+    byte beyond ASCII."""
+    inside = ~(_OTHER if alnum else _SPACE)[data]
     begin, end = inside.copy(), inside.copy()
     begin[1:] &= ~inside[:-1]
     end[:-1] &= ~inside[1:]
@@ -82,7 +87,7 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(starts, np.flatnonzero(end) + 1, np.searchsorted(starts, offsets))
 
 
-def word_hashes(data: np.ndarray, words: Words, lower: bool = False) -> np.ndarray:
+def word_hashes(data: np.ndarray, words: Words, lower: bool = False, alnum: bool = False) -> np.ndarray:
     """A 64-bit hash of each word's bytes, the same in every process."""
     starts, ends, n = words.starts, words.ends, len(words.starts)
     out = np.empty(n, np.uint64)
@@ -95,6 +100,8 @@ def word_hashes(data: np.ndarray, words: Words, lower: bool = False) -> np.ndarr
         place = np.arange(hi - lo) - np.repeat(rel, np.diff(np.append(rel, hi - lo)))
         values = _VALUE[_LOWER[raw] if lower else raw]
         values *= _POW[place & (_POWERS - 1)]
+        if alnum:
+            values[_OTHER[raw]] = 0
         if (ends[a:b] - starts[a:b]).max() > _POWERS:
             values *= _powers(int(place.max() >> 16) + 1, pow(_POWER, _POWERS, 1 << 64))[place >> 16]
         out[a:b] = np.add.reduceat(values, rel)

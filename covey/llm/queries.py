@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covey.llm import bpe, fmindex, langid, ngrams, suffixes
+from covey.llm import bpe, decontamination, fmindex, langid, ngrams, suffixes
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -44,5 +44,9 @@ def op9_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = [op2_byte_bpe, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard, op9_fm_index]
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = [op2_byte_bpe, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard, op9_fm_index, op10_decontamination]
 ORACLES: dict[str, str] = {}
