@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covey.llm import bpe, decontamination, fmindex, langid, ngrams, suffixes
+from covey.llm import bpe, decontamination, fmindex, huffman, langid, ngrams, suffixes
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +39,11 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
+def op8_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return huffman.read(huffman.write(docs, WORD_BPE, huffman.folder(spark)), with_ids=False)
+
+
 def op9_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fmindex.remove_repeats(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
@@ -48,5 +54,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = [op2_byte_bpe, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard, op9_fm_index, op10_decontamination]
+QUERIES = [op2_byte_bpe, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard, op8_huffman_ids, op9_fm_index, op10_decontamination]
 ORACLES: dict[str, str] = {}
