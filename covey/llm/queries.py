@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covey.llm import bpe, decontamination, fmindex, huffman, langid, ngrams, suffixes
+from covey.llm import bpe, decontamination, fmindex, huffman, langid, ngrams, suffixes, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(docs, BYTE_BPE, public_tokenizers.PATTERN))
 
 
+def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write(_table(spark, sf_dir, "pages"), warc.folder(spark))
+    return warc.read(manifest, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -54,5 +61,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = [op2_byte_bpe, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard, op8_huffman_ids, op9_fm_index, op10_decontamination]
-ORACLES: dict[str, str] = {}
+QUERIES = [op2_byte_bpe, op4_warc_zip, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard, op8_huffman_ids, op9_fm_index, op10_decontamination]
+ORACLES: dict[str, str] = {
+    "op4_warc_zip": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(encode(coalesce(html, ''))) AS payload_digest
+  FROM pages
+), k AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_bytes, payload_digest) AS largest FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN largest END AS refers_to
+FROM k
+""",
+}
