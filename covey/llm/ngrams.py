@@ -8,9 +8,11 @@ take the root of that, so shingles far more common than that root are told apart
 The order never changes the result, only the work.
 
 Only classes are asked for, so links are looked for where they can still change a class: first
-each set is compared with its neighbour in a few buckets, which joins most groups of near copies;
-then the exact prefix join runs over pairs of groups whose classes differ. Links inside a class
-are never listed, so a large group of near copies costs as many rows as it has members.
+each set is compared with two others in a few buckets, its neighbour by size and the one whose
+shingles are the most common: among edited copies of a text that is the text itself or what is
+closest to it. That joins most groups of near copies. Then the exact prefix join runs over pairs of
+groups whose classes differ. Links inside a class are never listed, so a large group of near
+copies costs as many rows as it has members.
 
 A shingle is a 64-bit hash. Two shingles of a pair of documents with 10,000 of them each collide
 with a chance of about 1e-11.
@@ -33,6 +35,7 @@ from covey.sources.shared import materialise
 WIDTH = 5
 BUCKET_BITS = 20
 SEEDS = 3
+PARITY_BITS = 512
 _SLOT = 1 << 12
 _BASE = np.uint64(0xA0761D6478BD642F)
 
@@ -99,8 +102,9 @@ def _bucket(shingles: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> DataFrame:
-    """``doc_id, n, g, s, seeds, prefix``: set size, hash of prefix and size, hash of the set,
-    its smallest shingles, and its prefix."""
+    """``doc_id, n, g, s, common, parity, seeds, prefix``: set size, hash of prefix and size, hash
+    of the set, how common its shingles are on average, the parities of its shingles' numbers in
+    ``PARITY_BITS`` bins, its smallest shingles, and its prefix."""
     classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(docs, width))
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,15 +122,34 @@ def profiles(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> DataFram
                     "n": pa.array(n, pa.int64()),
                     "g": pa.array([_hash(x, _BASE ^ np.uint64(len(s))) for x, s in zip(prefixes, sets, strict=True)], pa.int64()),
                     "s": pa.array([_hash(x, _BASE) for x in sets], pa.int64()),
+                    "common": pa.array([int(1000 * classes.value[_bucket(x)].mean()) if len(x) else 0 for x in sets], pa.int64()),
+                    "parity": _lists([_parity(x) for x in sets]),
                     "seeds": _lists(seeds),
                     "prefix": _lists(prefixes),
                 }
             )
 
-    kind = "doc_id long, n long, g long, s long, seeds array<long>, prefix array<long>"
+    kind = "doc_id long, n long, g long, s long, common long, parity array<long>, seeds array<long>, prefix array<long>"
     return docs.select("doc_id", "text").mapInArrow(profile, kind)
 
 
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """Two sets differ in at least as many shingles as their parities differ in bits."""
+    bins = (shingles & np.uint64(PARITY_BITS - 1)).astype(np.int64)
+    odd = np.bincount(bins, minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.uint64)
+
+
+def _near(a: str, b: str, percent: int) -> F.Column:
+    """Whether the parities of two sets allow their similarity (always, where one is unknown)."""
+    differ = sum(
+        (F.bit_count(F.col(f"{a}.parity")[i].bitwiseXOR(F.col(f"{b}.parity")[i])) for i in range(PARITY_BITS // 64)),
+        F.lit(0),
+    )
+    most = (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - percent)
+    return F.coalesce(differ * (100 + percent) <= most, F.lit(True))
+
+
 def prefix_size(n: int, percent: int) -> int:
     """Sets of n whose overlap is ``percent`` of n or more share one of their first so many."""
     return n - -(-percent * n // 100) + 1 if n else 0
@@ -179,7 +202,7 @@ def jaccard_classes(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> D
     """
     table = materialise(profiles(docs, percent, width), "ngram-profiles")
     known = table.filter("n > 0 AND doc_id IS NOT NULL")
-    sets = materialise(known.groupBy("n", "g", "s").agg(F.min("doc_id").alias("rep")), "ngram-sets")
+    sets = materialise(known.groupBy("n", "g", "s").agg(F.min("doc_id").alias("rep"), F.any_value("parity").alias("parity")), "ngram-sets")
     same = (F.col("doc_id") == F.col("rep")) & (F.col("t.n") == F.col("r.n"))
     same = same & (F.col("t.g") == F.col("r.g")) & (F.col("t.s") == F.col("r.s"))
     first = materialise(
@@ -188,7 +211,7 @@ def jaccard_classes(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> D
     classes = components(first)
     members = materialise(
         sets.join(classes, F.col("rep") == F.col("node"), "left").select(
-            "n", "g", "rep", F.coalesce("root", "rep").alias("c")
+            "n", "g", "rep", "parity", F.coalesce("root", "rep").alias("c")
         ),
         "ngram-members",
     )
@@ -211,16 +234,22 @@ def jaccard_classes(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> D
 
 
 def _neighbours(kept: DataFrame) -> DataFrame:
-    """Pairs likely to be similar: neighbours by size among the sets with one of their smallest
-    shingles in common, and among those of one group."""
-    rows = kept.select("rep", F.col("t.n").alias("n"), F.col("t.g").alias("g"), "seeds")
+    """Pairs likely to be similar: among the sets with one of their smallest shingles in common
+    and about the same size, and among those of one group, neighbours by size, and each with the
+    one whose shingles are the most common."""
+    rows = kept.select("rep", F.col("t.n").alias("n"), F.col("t.g").alias("g"), "common", "seeds")
     size = F.floor(F.log("n") / F.lit(float(np.log(1.25))))
-    by_seed = rows.select("rep", "n", F.explode("seeds").alias("key"), size.alias("block"))
-    by_group = rows.select("rep", "n", F.col("g").alias("key"), F.lit(-1).cast("long").alias("block"))
-    order = Window.partitionBy("key", "block").orderBy("n", "rep")
+    plain = ("rep", "n", "common")
+    by_seed = rows.select(*plain, F.explode("seeds").alias("key"), size.alias("size")).select(
+        *plain, "key", F.explode(F.array("size", F.col("size") + 1)).alias("block")
+    )
+    by_group = rows.select(*plain, F.col("g").alias("key"), F.lit(-1).cast("long").alias("block"))
+    bucket = Window.partitionBy("key", "block")
     return (
         by_seed.unionByName(by_group)
-        .select("rep", F.lag("rep").over(order).alias("a"))
+        .withColumn("before", F.lag("rep").over(bucket.orderBy("n", "rep")))
+        .withColumn("centre", F.first("rep").over(bucket.orderBy(F.desc("common"), "rep")))
+        .select("rep", F.explode(F.array("before", "centre")).alias("a"))
         .filter("a <> rep")
         .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
         .distinct()
@@ -230,7 +259,11 @@ def _neighbours(kept: DataFrame) -> DataFrame:
 def _prefix_pairs(known: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets that may be similar and whose classes differ, from pairs of groups."""
     groups = members.groupBy("n", "g").agg(
-        F.min("rep").alias("gid"), F.min("c").alias("low"), F.max("c").alias("high")
+        F.min("rep").alias("gid"),
+        F.min("c").alias("low"),
+        F.max("c").alias("high"),
+        # Only a group of one set has parities that hold for all its members.
+        F.when(F.count("*") == 1, F.any_value("parity")).alias("parity"),
     )
     of = known.alias("t").join(
         groups.alias("r"),
@@ -241,7 +274,8 @@ def _prefix_pairs(known: DataFrame, members: DataFrame, percent: int) -> DataFra
     mixed = materialise(
         postings.withColumns({"least": F.min("low").over(token), "most": F.max("high").over(token)})
         .filter("least < most")
-        .drop("least", "most"),
+        .drop("least", "most")
+        .join(groups.select("gid", "n", "parity"), ["gid", "n"]),
         "ngram-postings",
     )
     a, b = mixed.alias("a"), mixed.alias("b")
@@ -260,20 +294,20 @@ def _prefix_pairs(known: DataFrame, members: DataFrame, percent: int) -> DataFra
                 (F.least("a.pos", "b.pos") + 1 + F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) - 1)
                 * q
                 >= (F.col("a.n") + F.col("b.n")) * p
-            ),
+            )
+            & _near("a", "b", percent),
         )
         .select(F.col("a.gid").alias("ga"), F.col("b.gid").alias("gb"))
         .distinct()
     )
     inside = groups.filter("low < high").select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
-    expanded = members.join(groups.select("n", "g", "gid"), ["n", "g"]).select("gid", "rep", "c")
-    left = expanded.select(F.col("gid").alias("ga"), F.col("rep").alias("a"), F.col("c").alias("ca"))
-    right = expanded.select(F.col("gid").alias("gb"), F.col("rep").alias("b"), F.col("c").alias("cb"))
+    expanded = members.join(groups.select("n", "g", "gid"), ["n", "g"]).select("gid", "rep", "c", "n", "parity")
+    left = both.unionByName(inside).join(expanded.withColumnRenamed("gid", "ga"), "ga").alias("a")
     return (
-        both.unionByName(inside)
-        .join(left, "ga")
-        .join(right, "gb")
-        .filter("ca <> cb")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        left.join(
+            expanded.alias("b"),
+            (F.col("a.gb") == F.col("b.gid")) & (F.col("a.c") != F.col("b.c")) & _near("a", "b", percent),
+        )
+        .select(F.least("a.rep", "b.rep").alias("a"), F.greatest("a.rep", "b.rep").alias("b"))
         .distinct()
     )
