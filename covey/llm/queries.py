@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covey.llm import bpe, decontamination, fmindex, huffman, langid, ngrams, suffixes, warc
+from covey.llm import bpe, decontamination, fmindex, forest, huffman, langid, ngrams, suffixes, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return bpe.digests(bpe.encode_decode(docs, BYTE_BPE, public_tokenizers.PATTERN))
@@ -61,7 +65,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = [op2_byte_bpe, op4_warc_zip, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard, op8_huffman_ids, op9_fm_index, op10_decontamination]
+QUERIES = [op1_rp_forest, op2_byte_bpe, op4_warc_zip, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard, op8_huffman_ids, op9_fm_index, op10_decontamination]
 ORACLES: dict[str, str] = {
     "op4_warc_zip": """
 WITH p AS (
