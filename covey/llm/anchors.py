@@ -170,9 +170,9 @@ def occurrences(docs: DataFrame, symbols: Symbols, span: int, gram: int) -> Data
     many such rows as there are batches, not texts."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in columns.texts(batches, "text", 1 << 24):
             got = []
-            for part in columns.texts(iter([batch]), "text", 1 << 22):
+            for part in columns.texts(iter([batch]), "text", 1 << 21):
                 num = part.column(0).to_numpy()
                 values, first = symbols(*columns.text_buffer(part.column(1)))
                 for x in find(values, first, span, gram):
@@ -315,7 +315,7 @@ def contexts(docs: DataFrame, found: DataFrame, symbols: Symbols | None) -> Data
     )
 
 
-def whole_keys(batches: Iterator[pa.RecordBatch], most: int = 1 << 25) -> Iterator[pa.RecordBatch]:
+def whole_keys(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Batches sorted by ``key``, regrouped so that a key's rows stand in one batch, and a batch
     holds up to about ``most`` bytes of content (more only if one key does)."""
     held: list[pa.RecordBatch] = []
