@@ -362,10 +362,11 @@ def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     )
 
 
-def digests(coded: DataFrame) -> DataFrame:
-    """Of ``doc_id, ids, decoded``: the number of ids and the SHA-256 of both forms."""
+def with_digests(coded: DataFrame) -> DataFrame:
+    """``doc_id, ids`` with the number of ids and the SHA-256 of the ids and of the bytes."""
     return coded.select(
         "doc_id",
+        "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covey.llm import bpe, decontamination, fmindex, forest, huffman, langid, ngrams, suffixes, warc
+from covey.llm import bpe, decontamination, fmindex, forest, huffman, langid, ngrams, suffixes, tokencounts, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -22,7 +22,11 @@ def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return bpe.digests(bpe.encode_decode(docs, BYTE_BPE, public_tokenizers.PATTERN))
+    return bpe.with_digests(bpe.encode_decode(docs, BYTE_BPE, public_tokenizers.PATTERN)).drop("ids")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.section_tokens(_table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
 
 
 def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +69,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = [op1_rp_forest, op2_byte_bpe, op4_warc_zip, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard, op8_huffman_ids, op9_fm_index, op10_decontamination]
+QUERIES = [op1_rp_forest, op2_byte_bpe, op3_token_counts, op4_warc_zip, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard, op8_huffman_ids, op9_fm_index, op10_decontamination]
 ORACLES: dict[str, str] = {
     "op4_warc_zip": """
 WITH p AS (
