@@ -1,12 +1,83 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again."""
+"""The corpus pipeline: stages over ``documents``, each written and read again.
+
+1. language ID: documents whose language can't be told go;
+2. n-gram Jaccard join: of each class of near copies the document of smallest doc_id stays;
+3. substring dedup: words in windows that repeat anywhere go from the texts, which become the
+   words that are left, joined by one space; a document left without any word goes;
+4. benchmark decontamination: documents into which a benchmark item leaks go;
+5. byte-level BPE: the ids of each text, with digests of the ids and of the text decoded again.
+
+All but the last return the columns of ``documents``, and keep all other documents as they are.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from covey.llm import bpe, decontamination, fmindex, langid, ngrams
 from covey.sources.shared import materialise
 
-STAGES = []
+#: A document is rejected if no language has this much of its windows' probability.
+LEAST_SCORE = 0.4
+
+_BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    told = langid.predict(docs, langid.fit(docs))
+    return told.filter((F.col("lang_pred") != langid.UNDECIDED) & (F.col("lang_score") >= LEAST_SCORE)).select(
+        *docs.columns
+    )
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without doc_id stay; rows that share a doc_id are one document."""
+    classes = ngrams.jaccard_classes(docs)
+    copies = classes.filter("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts of which nothing is removed stay as they are, with their white space."""
+    known, plain = _identified(docs)
+    done = fmindex.remove_repeats(known.select(F.col("_num").alias("doc_id"), "text")).filter("n_removed > 0")
+    changed = done.select(F.col("doc_id").alias("_num"), F.col("kept").cast("string").alias("_kept"))
+    text = F.coalesce("_kept", "text")
+    return (
+        known.join(changed, "_num", "left")
+        .filter(F.col("_kept").isNull() | (F.col("_kept") != ""))
+        .withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept")))
+        .withColumn("text", text)
+        .select(*plain)
+    )
+
+
+def _identified(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with a number of its own for every row, and the columns' names."""
+    odd = docs.groupBy("doc_id").count().filter("doc_id IS NULL OR count > 1").limit(1)
+    if odd.isEmpty():
+        return docs.withColumn("_num", F.col("doc_id")), docs.columns
+    return materialise(docs.withColumn("_num", F.monotonically_increasing_id()), "identified"), docs.columns
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_decode(docs, _BYTE_BPE, public_tokenizers.PATTERN)
+    return bpe.with_digests(coded)
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("n-gram Jaccard join", ngram_jaccard),
+    ("substring dedup", substring_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("byte-level BPE", byte_bpe),
+]
 
 #: Learned models and graph components have no SQL form; tests/llm holds the brute-force version.
 ORACLE_SQL = None
@@ -14,6 +85,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{i}")
     return docs
