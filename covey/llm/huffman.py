@@ -148,9 +148,13 @@ class Decoder:
 
 
 class WordTokenizer:
-    """A tokenizer of the library that drops white space, applied to the stretches between
-    spaces: none of its rules looks past a space, so they are encoded alike wherever they stand,
-    and each only once while the table lasts."""
+    """A tokenizer of the library that drops white space and lower-cases, applied to the stretches
+    between spaces: none of its rules looks past a space, so they are encoded alike wherever they
+    stand, and each only once while the table lasts.
+
+    What a new stretch consists of is looked up too: closing ASCII punctuation after a letter or
+    digit is a piece of its own. The library gets many words in one text, which costs it less than
+    many texts; as a word of letters is one piece, its number of the piece tells them apart."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -159,24 +163,53 @@ class WordTokenizer:
         self.library = tokenizers.Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.seen: dict[str, list[int]] = {}
+        self.words: dict[str, list[int]] = {}
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         parts = [t.split(" ") for t in texts]
         new = set().union(*parts) - self.seen.keys()
         if len(self.seen) + len(new) > _WORDS_KEPT:
             self.seen.clear()
+            self.words.clear()
             new = set().union(*parts)
-        names = list(new)
-        for i in range(0, len(names), 1 << 14):
-            some = names[i : i + (1 << 14)]
-            got = self.library.encode_batch_fast(some, add_special_tokens=False)
-            self.seen.update(zip(some, (g.ids for g in got), strict=True))
+        halves = {x: _halves(x) for x in new}
+        self._learn(set(chain.from_iterable(halves.values())) - self.words.keys())
+        words = self.words
+        self.seen.update((x, words[a] + words[b]) for x, (a, b) in halves.items())
         look = self.seen.__getitem__
         out = [list(chain.from_iterable(map(look, p))) for p in parts]
         for x in [x for x in new if len(x) > 64]:
             del self.seen[x]
         return out
 
+    def _learn(self, words: set[str]) -> None:
+        plain = sorted(w for w in words if w.isalpha() and len(w) <= 64)
+        groups = [plain[i : i + 64] for i in range(0, len(plain), 64)]
+        other = [w for w in words if not (w.isalpha() and len(w) <= 64)]
+        for i in range(0, len(groups), 256):
+            some = groups[i : i + 256]
+            joined = self.library.encode_batch_fast([" ".join(g) for g in some], add_special_tokens=False)
+            for group, got in zip(some, joined, strict=True):
+                number = np.array(got.word_ids, dtype=float)
+                cut = np.flatnonzero(np.append(True, number[1:] != number[:-1])).tolist()
+                if len(cut) != len(group) or np.isnan(number).any():
+                    other += group  # some word isn't one piece
+                    continue
+                ids = got.ids
+                self.words.update(zip(group, (ids[a:b] for a, b in zip(cut, [*cut[1:], len(ids)], strict=True)), strict=True))
+        for i in range(0, len(other), 1 << 14):
+            some = other[i : i + (1 << 14)]
+            got = self.library.encode_batch_fast(some, add_special_tokens=False)
+            self.words.update(zip(some, (g.ids for g in got), strict=True))
+
+
+def _halves(stretch: str) -> tuple[str, str]:
+    """A stretch's word and closing punctuation; the word in lower case where that is plain."""
+    word = stretch.rstrip(".,!?;:*#%&$")
+    if not word or not word[-1].lower()[-1].isalnum():  # a lone mark would join the punctuation
+        return stretch, ""
+    return word.lower() if word.isascii() else word, stretch[len(word) :]
+
 
 @functools.lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:
