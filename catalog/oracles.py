@@ -239,6 +239,14 @@ RATE = (
 )
 DISTINCT_LINES = f"(SELECT DISTINCT {', '.join(LINE_FEATURES)} FROM lineitem)"
 
+LINE_NUMBERS = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax"
+).split()
+GUARDS = (
+    "EmptyInput NoNumericColumns NoCompleteColumns NoVaryingColumns TooFewRows TooFewRowsForSweep "
+    "ReservedNames EmptyCollection"
+).split()
+
 ORACLES: dict[str, str] = {
     "scan_parquet": (
         "SELECT l_orderkey, l_partkey, l_quantity, l_extendedprice, l_returnflag, l_shipdate "
@@ -337,11 +345,6 @@ ORACLES: dict[str, str] = {
         f"SELECT l_orderkey, l_linenumber, l_quantity, l_discount, "
         f"{_nearest('l_quantity', 'l_discount')} AS prediction FROM lineitem"
     ),
-    "kmeans_lloyd_step": (
-        f"SELECT prediction, count(*) AS n, round(avg(l_quantity), 6) AS l_quantity, "
-        f"round(avg(l_discount), 6) AS l_discount FROM (SELECT l_quantity, l_discount, "
-        f"{_nearest('l_quantity', 'l_discount')} AS prediction FROM lineitem) GROUP BY prediction"
-    ),
     "cluster_centers_original_units": _original_units(),
     "silhouette": (
         f"SELECT round(score, 6) AS score FROM ({_silhouette(_labelled(FLAG_LABEL), LINE_FEATURES)})"
@@ -399,7 +402,27 @@ ORACLES: dict[str, str] = {
         f"SELECT product_name, count(*) AS n, CAST(1 AS BIGINT) AS clusters FROM ({FLAG_ROWS}) "
         f"GROUP BY product_name"
     ),
-    "score_batch_lineitem": "SELECT count(*) AS n, count(*) AS assigned FROM lineitem",
+    "score_batch_lineitem": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS mismatches FROM lineitem",
+    "k_sweep_lineitem": (
+        "SELECT CAST(k AS INTEGER) AS k, true AS equal, (SELECT count(*) FROM "
+        f"{DISTINCT_LINES}) AS n FROM range(2, 5) t(k)"
+    ),
+    "train_profiles_lineitem": "SELECT count(*) AS n, "
+    + ", ".join(f"round(avg({c}), 4) AS {c}" for c in LINE_NUMBERS)
+    + f" FROM (SELECT DISTINCT {', '.join(LINE_NUMBERS)} FROM lineitem)",
+    "train_files": (
+        f"SELECT 'clusters' AS file, count(*) AS rows, count(*) AS told FROM ({FLAG_ROWS}) UNION ALL "
+        f"SELECT 'profiles', 3, count(*) FROM ({FLAG_ROWS}) UNION ALL SELECT 'centers', 3, 3 "
+        f"UNION ALL SELECT 'metrics', 1, count(*) FROM ({FLAG_ROWS})"
+    ),
+    "guards": "SELECT g AS guard, g AS raised FROM (SELECT unnest(["
+    + ", ".join(f"'{g}'" for g in GUARDS)
+    + "]) AS g)",
+    "medians_of_heavy_values": (
+        "SELECT quantile_disc(l_quantity, 0.5) AS quantity, "
+        "CAST(quantile_disc(l_linenumber % 2, 0.5) AS DOUBLE) AS odd, CAST(0 AS DOUBLE) AS flag "
+        "FROM lineitem"
+    ),
     "score_job": (
         f"SELECT product_name, CAST(sum(count(*)) OVER () AS BIGINT) AS rows, "
         f"count(*) AS count, count(*) AS n FROM ({FLAG_ROWS}) GROUP BY product_name"

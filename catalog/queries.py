@@ -7,10 +7,11 @@ from functools import reduce
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalog import nearest
 from catalog.inputs import (
     FLAG_FEATURES,
     FLAGS,
@@ -21,7 +22,8 @@ from catalog.inputs import (
     table,
 )
 from covey.functions.documents import as_documents
-from covey.operators import clustering, features, preparation, profiles, sampling, words
+from covey import errors
+from covey.operators import clustering, features, medians, preparation, profiles, sampling, words
 from covey.params import Params
 from covey.plans.scoring import run_scoring, score
 from covey.plans.training import TrainingOutputs, run_training, train
@@ -339,12 +341,7 @@ def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def assign_fixed_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *CENTER_FEATURES)
-    return clustering.assign_to_centers(lines, CENTER_FEATURES, CENTERS)
-
-
-def kmeans_lloyd_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    step = clustering.lloyd_step(table(spark, sf_dir, "lineitem"), CENTER_FEATURES, CENTERS)
-    return step.select("prediction", "n", *[F.round(c, 6).alias(c) for c in CENTER_FEATURES])
+    return nearest.assign_to_centers(lines, CENTER_FEATURES, CENTERS)
 
 
 def cluster_centers_original_units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,7 +386,7 @@ def best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cluster_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     gaps = derived(table(spark, sf_dir, "lineitem"), GAPS | {"l_quantity": "l_quantity"})
-    assigned = clustering.assign_to_centers(gaps, ["l_quantity", "discount"], CENTERS)
+    assigned = nearest.assign_to_centers(gaps, ["l_quantity", "discount"], CENTERS)
     return profiles.cluster_profiles(assigned, ["quantity", "price", "discount"])
 
 
@@ -436,10 +433,10 @@ def _nearest_check(rows: DataFrame, columns: list[str], k: int) -> DataFrame:
     assigned = model.transform(prepared).select(
         "prediction", *[vector[i].alias(slot) for i, slot in enumerate(slots)]
     )
-    nearest = clustering.nearest_center(slots, [list(c) for c in model.clusterCenters()])
+    closest = nearest.nearest_center(slots, [list(c) for c in model.clusterCenters()])
     return assigned.agg(
         F.count("*").alias("n"),
-        F.count_if(nearest != F.col("prediction")).alias("mismatches"),
+        F.count_if(closest != F.col("prediction")).alias("mismatches"),
         F.count_distinct("prediction").alias("clusters"),
     )
 
@@ -450,11 +447,14 @@ def kmeans_fit_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_fit_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = [f"e{i}" for i in range(64)]
-    rows = table(spark, sf_dir, "embeddings").select(
-        *[F.col("embedding")[i].cast("double").alias(name) for i, name in enumerate(names)]
-    )
-    return _nearest_check(rows, names, 10)
+    """Every component of the vectors is a column; vectors of another width are an error."""
+    vectors = table(spark, sf_dir, "embeddings")
+    width = vectors.agg(F.max(F.size("embedding"))).first()[0]
+    same = F.assert_true(F.size("embedding") == width, "vectors differ in width")
+    rows = vectors.select(
+        *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(width)], same.alias("same")
+    ).filter("same IS NULL").drop("same")
+    return _nearest_check(rows, rows.columns, 10)
 
 
 # --- jobs ----------------------------------------------------------------------------------
@@ -467,8 +467,39 @@ def k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k_sweep_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = train(table(spark, sf_dir, "lineitem").select(*LINE_FEATURES), Params(k_max=4))
-    return result.scores
+    """Over natural rows: does each k's score equal the closed form from the clusters' sums?"""
+    rows = materialise(
+        sampling.distinct_rows(table(spark, sf_dir, "lineitem").select(*LINE_FEATURES)), "distinct"
+    )
+    n = rows.count()
+    prepared, vectors = clustering.training_vectors(rows, n, LINE_FEATURES, "median", 0.0)
+    scores = clustering.sweep(vectors, n, len(LINE_FEATURES), Params(k_max=4)).scores.collect()
+    checked = []
+    for k, found in scores:
+        assigned = clustering.fit_kmeans(vectors, k, Params().seed).transform(vectors)
+        checked.append((k, abs(found - _silhouette_from_sums(assigned, len(LINE_FEATURES))) < 1e-9, n))
+    return spark.createDataFrame(checked, "k int, equal boolean, n long")
+
+
+def _silhouette_from_sums(assigned: DataFrame, width: int) -> float:
+    """Mean silhouette of squared distances, with each row's distances to a whole cluster taken
+    from the cluster's count, sum and sum of squares (at most k rows)."""
+    z = vector_to_array(preparation.VECTOR)
+    rows = assigned.select("prediction", *[z[i].alias(f"z{i}") for i in range(width)])
+    names = [F.col(f"z{i}") for i in range(width)]
+    square = reduce(lambda x, y: x + y, [c * c for c in names])
+    sums = rows.groupBy("prediction").agg(
+        F.count("*").alias("n"), F.sum(square).alias("squares"), *[F.sum(c) for c in names]
+    )
+    own, others = F.lit(None).cast("double"), []
+    for label, n, squares, *total in sums.collect():
+        dot = reduce(lambda x, y: x + y, [c * F.lit(t) for c, t in zip(names, total)])
+        away = square * n + F.lit(squares) - dot * 2
+        mine = F.col("prediction") == label
+        own = F.when(mine, away / max(n - 1, 1)).otherwise(own)
+        others.append(F.when(~mine, away / n))
+    nearest_other = F.least(*others)
+    return rows.agg(F.avg((nearest_other - own) / F.greatest(nearest_other, own))).first()[0]
 
 
 def train_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -476,6 +507,18 @@ def train_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_profiles_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over natural rows: the clusters' rows and, weighted by them, their means."""
+    result = train(table(spark, sf_dir, "lineitem"), Params(k_max=4))
+    names = result.model.feature_cols
+    unrounded = profiles.cluster_profiles(result.assignments, names, 12)
+    return unrounded.agg(
+        F.sum("n").alias("n"),
+        *[F.round(F.sum(F.col(c) * F.col("n")) / F.sum("n"), 4).alias(c) for c in names],
+    )
+
+
+def train_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profiles of a training on lineitem, as the job reports them."""
     return train(table(spark, sf_dir, "lineitem"), Params(k_max=4)).profiles
 
 
@@ -541,15 +584,84 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_batch_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A model of four features over whole rows, copies kept."""
+    """A model of four features over whole rows, copies kept: is each in its nearest cluster?"""
     lines = table(spark, sf_dir, "lineitem")
     model = train(lines.select(*LINE_FEATURES), Params(k_max=3)).model
     scored = score(lines, model, deduplicate=False)
-    return scored.agg(
-        F.count("*").alias("n"), F.count("prediction").alias("assigned")
+    prepared = model.preparation.transform(scored)
+    z = vector_to_array(preparation.VECTOR)
+    slots = [f"z{i}" for i in range(len(LINE_FEATURES))]
+    placed = prepared.select("prediction", *[z[i].alias(slot) for i, slot in enumerate(slots)])
+    closest = nearest.nearest_center(slots, [list(c) for c in model.kmeans.clusterCenters()])
+    return placed.agg(
+        F.count("*").alias("n"), F.count_if(closest != F.col("prediction")).alias("mismatches")
+    )
+
+
+def train_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files of a training run, read back: rows in each, and the rows that they tell of."""
+    root = fresh_path(spark, "files")
+    _flag_lines(spark, sf_dir).write.parquet(f"{root}/lines")
+    outputs = TrainingOutputs(
+        f"{root}/model", f"{root}/clusters.csv", f"{root}/profiles.csv", f"{root}/centers.csv",
+        f"{root}/metrics.json", clusters_single_file=True,
+    )
+    run_training(spark, f"{root}/lines", outputs, EXACT)
+
+    def csv(name: str, told: Column) -> DataFrame:
+        rows = spark.read.csv(f"{root}/{name}.csv", header=True, inferSchema=True)
+        return rows.agg(F.lit(name).alias("file"), F.count("*").alias("rows"), told.cast("long").alias("told"))
+
+    metrics = spark.read.option("multiLine", True).json(f"{root}/metrics.json")
+    return (
+        csv("clusters", F.count("*"))
+        .unionByName(csv("profiles", F.sum("n")))
+        .unionByName(csv("centers", F.max("prediction") + 1))
+        .unionByName(metrics.agg(F.lit("metrics").alias("file"), F.count("*").alias("rows"), F.sum("rows_working").alias("told")))
     )
 
 
+def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every guard against the input it is there for, derived from lineitem."""
+    lines = table(spark, sf_dir, "lineitem")
+    store = _store(spark)
+    store.replace("empty", lines.where("l_quantity < 0"))
+    cases = {
+        errors.EmptyInput: lambda: features.select_features(lines.where("l_quantity < 0"), Params()),
+        errors.NoNumericColumns: lambda: features.select_features(lines.select("l_returnflag"), Params()),
+        errors.NoCompleteColumns: lambda: features.select_features(
+            lines.selectExpr("CASE WHEN l_linenumber = 1 THEN l_quantity END AS q"), Params()
+        ),
+        errors.NoVaryingColumns: lambda: features.select_features(lines.selectExpr("1.0D AS one"), Params()),
+        errors.TooFewRows: lambda: train(lines.selectExpr("CAST(l_linenumber % 2 AS DOUBLE) AS odd")),
+        errors.TooFewRowsForSweep: lambda: clustering.sweep(
+            lines, lines.select("l_linestatus").distinct().count(), 1, Params()
+        ),
+        errors.ReservedNames: lambda: train(lines.withColumnRenamed("l_quantity", "prediction")),
+        errors.EmptyCollection: lambda: store.read("empty"),
+    }
+    rows = []
+    for expected, run in cases.items():
+        try:
+            run()
+            raised = ""
+        except errors.GuardError as error:
+            raised = type(error).__name__
+        rows.append((expected.__name__, raised))
+    return spark.createDataFrame(rows, "guard string, raised string")
+
+
+def medians_of_heavy_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact medians of columns with few values, each in many rows."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.explode(F.sequence(F.lit(1), F.lit(40))).alias("copy"),
+        F.col("l_quantity").cast("double").alias("quantity"),
+        (F.col("l_linenumber") % 2).cast("double").alias("odd"),
+    ).withColumn("flag", (F.col("copy") % 2).cast("double"))
+    found = medians.exact_lower_medians(lines, ["quantity", "odd", "flag"])
+    return spark.createDataFrame([tuple(found.values())], "quantity double, odd double, flag double")
+
+
 def score_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job, from files to files: train, save, score, write, summarise."""
     root = fresh_path(spark, "job")
@@ -617,7 +729,6 @@ QUERIES = [
     assemble_vector,
     standardise,
     assign_fixed_centers,
-    kmeans_lloyd_step,
     cluster_centers_original_units,
     silhouette,
     silhouette_cosine,
@@ -631,6 +742,10 @@ QUERIES = [
     k_sweep_lineitem,
     train_profiles,
     train_profiles_lineitem,
+    train_report,
+    train_files,
+    guards,
+    medians_of_heavy_values,
     train_centers,
     train_assignments,
     metrics_document,

@@ -35,6 +35,11 @@ class TooFewRowsForSweep(GuardError):
         super().__init__(f"{rows} rows cannot be split into {k_min} or more clusters")
 
 
+class ReservedNames(GuardError):
+    def __init__(self, names: list[str]) -> None:
+        super().__init__(f"columns {names} have names that the results need; rename them")
+
+
 class EmptyCollection(GuardError):
     def __init__(self, name: str) -> None:
         super().__init__(f"collection {name!r} holds no rows")

@@ -8,13 +8,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScalerModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from covey.errors import TooFewRowsForSweep
 from covey.functions.columns import column
@@ -23,7 +22,10 @@ from covey.params import Params
 from covey.sources.shared import checkpointed
 
 PREDICTION = "prediction"
-_CELLS_PER_PARTITION = 200_000
+# Numbers in a partition: 128 MB of them, but up to 64 partitions while these would be smaller.
+_CELLS_PER_PARTITION = 16_000_000
+_CELLS_AT_LEAST = 200_000
+_SMALL_PARTITIONS = 64
 
 
 def canonical_layout(df: DataFrame, rows: int, width: int) -> DataFrame:
@@ -38,7 +40,9 @@ def canonical_layout(df: DataFrame, rows: int, width: int) -> DataFrame:
 
 
 def canonical_partitions(rows: int, width: int) -> int:
-    return max(1, math.ceil(rows * width / _CELLS_PER_PARTITION))
+    cells = rows * width
+    small = min(_SMALL_PARTITIONS, math.ceil(cells / _CELLS_AT_LEAST))
+    return max(1, small, math.ceil(cells / _CELLS_PER_PARTITION))
 
 
 def training_vectors(
@@ -108,10 +112,9 @@ def best_of(scores: DataFrame) -> DataFrame:
 def sweep(vectors: DataFrame, rows: int, width: int, params: Params) -> Sweep:
     """Fit and score every k from ``k_min`` to ``min(k_max, rows - 1)``.
 
-    ``vectors`` should be cheap to read again: every fit keeps them in memory for its own time.
-    Fits are independent, so some run at a time, each under its own job group: one fit on a capped
-    sample has far too few tasks to fill a cluster. On data with more partitions than that they
-    run one by one.
+    The vectors are persisted once for all fits. Fits are independent, so some run at a time, each
+    under its own job group, as long as one fit has too few tasks to fill the cluster. On data with
+    more partitions than that they run one by one; that changes the time, not the results.
     """
     k_max = min(params.k_max, rows - 1)
     if k_max < params.k_min:
@@ -119,13 +122,17 @@ def sweep(vectors: DataFrame, rows: int, width: int, params: Params) -> Sweep:
     # The largest k takes longest, so it starts first.
     ks = range(k_max, params.k_min - 1, -1)
     spark = vectors.sparkSession
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     # Wrapped one by one: each wrap copies the local properties, job group among them.
     fits = [
         inheritable_thread_target(spark)(functools.partial(_fit_and_score, vectors, params, k))
         for k in ks
     ]
-    with ThreadPool(_fits_at_a_time(spark, rows, width, len(ks), params)) as pool:
-        results = sorted(pool.map(lambda fit: fit(), fits, chunksize=1), key=lambda r: r[0])
+    try:
+        with ThreadPool(_fits_at_a_time(spark, rows, width, len(ks), params)) as pool:
+            results = sorted(pool.map(lambda fit: fit(), fits, chunksize=1), key=lambda r: r[0])
+    finally:
+        vectors.unpersist()
     models = {k: model for k, model, _ in results}
     scores = spark.createDataFrame([(k, score) for k, _, score in results], "k int, score double")
     best = best_of(scores).first()
@@ -145,9 +152,8 @@ def _fits_at_a_time(
 def _fit_and_score(
     vectors: DataFrame, params: Params, k: int
 ) -> tuple[int, KMeansModel, float]:
-    vectors.sparkSession.sparkContext.setJobGroup(
-        f"kmeans-k-{k}", f"Fit and score KMeans for k={k}"
-    )
+    # The group's name is a fixed value.
+    vectors.sparkSession.sparkContext.setJobGroup(f"kmeans-k-{k}", f"{k} clusters: model and score")
     model = fit_kmeans(vectors, k, params.seed)
     score = silhouette(
         model.transform(vectors),
@@ -157,54 +163,19 @@ def _fit_and_score(
     return k, model, score
 
 
-def nearest_center(features: Sequence[str], centers: Sequence[Sequence[float]]) -> Column:
-    """Index of the nearest of a few given centres; of equally near ones, the first.
-    Plain arithmetic on the row, compiled with the rest of the stage."""
-    ranked = [
-        F.struct(_squared_distance(features, center).alias("d"), F.lit(i).alias("i"))
-        for i, center in enumerate(centers)
-    ]
-    return F.array_min(F.array(*ranked)).getField("i")
-
-
-def _squared_distance(features: Sequence[str], center: Sequence[float]) -> Column:
-    offsets = [column(name) - F.lit(float(at)) for name, at in zip(features, center, strict=True)]
-    return functools.reduce(Column.__add__, [o * o for o in offsets])
-
-
-def assign_to_centers(
-    df: DataFrame, features: Sequence[str], centers: Sequence[Sequence[float]]
-) -> DataFrame:
-    return df.withColumn(PREDICTION, nearest_center(features, centers))
-
-
-def lloyd_step(
-    df: DataFrame, features: Sequence[str], centers: Sequence[Sequence[float]]
-) -> DataFrame:
-    """One KMeans step from given centres: per cluster, its rows and its new centre."""
-    return (
-        assign_to_centers(df, features, centers)
-        .groupBy(PREDICTION)
-        .agg(F.count("*").alias("n"), *[F.avg(column(c)).alias(c) for c in features])
-    )
-
-
 def centers_in_original_units(
     spark: SparkSession,
     centers: Sequence[Sequence[float]],
     scaler: StandardScalerModel,
     features: Sequence[str],
 ) -> DataFrame:
-    """``centre * std + mean`` per cluster. At most k rows; columns are sorted by name."""
-    scale = list(zip(scaler.std.toArray(), scaler.mean.toArray()))
-    rows = []
-    for i, center in enumerate(centers):
-        units = [float(c * std + mean) for c, (std, mean) in zip(center, scale, strict=True)]
-        rows.append({PREDICTION: i, **dict(zip(features, units))})
-    schema = T.StructType(
-        [
-            T.StructField(c, T.IntegerType() if c == PREDICTION else T.DoubleType())
-            for c in sorted([PREDICTION, *features])
-        ]
-    )
-    return spark.createDataFrame(rows, schema).orderBy(PREDICTION)
+    """Every cluster's centre as a row of the features' own units: the scaling undone by column
+    arithmetic. At most k rows; columns are sorted by name."""
+    numbered = [(i, [float(x) for x in center]) for i, center in enumerate(centers)]
+    scaled = spark.createDataFrame(numbered, f"{PREDICTION} int, z array<double>")
+    units = {
+        name: F.col("z")[i] * F.lit(float(scaler.std[i])) + F.lit(float(scaler.mean[i]))
+        for i, name in enumerate(features)
+    }
+    units[PREDICTION] = F.col(PREDICTION)
+    return scaled.orderBy(PREDICTION).select(*[units[name].alias(name) for name in sorted(units)])

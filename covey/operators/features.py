@@ -86,17 +86,17 @@ def select_features(df: DataFrame, params: Params) -> tuple[list[str], int]:
     return features, total
 
 
-def as_double(name: str, dtype: T.DataType, nonfinite_as_null: bool = False) -> Column:
+def as_double(name: str, nonfinite_as_null: bool = False) -> Column:
     """A column as double. Decimals and longs lose what a double cannot hold."""
     value = column(name).cast("double")
     if nonfinite_as_null:
-        value = finite(value, dtype)
+        # Judged after the cast: a text may spell an infinity.
+        value = finite(value, T.DoubleType())
     return value.alias(name)
 
 
 def cast_features(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(*[as_double(name, types[name]) for name in names])
+    return df.select(*[as_double(name) for name in names])
 
 
 def align(
@@ -111,13 +111,12 @@ def align(
     What the table lacks becomes a typed null, what it has beyond that is never read.
     """
     flattened = name_columns(df.schema, name_column)
-    types = {f.name: f.dataType for f in df.schema.fields}
     names = [
         flattened.get(name, F.lit(None).cast("string")).alias(name) for name in product_cols
     ]
     features = [
-        as_double(name, types[name], nonfinite_as_null)
-        if name in types
+        as_double(name, nonfinite_as_null)
+        if name in df.columns
         else F.lit(None).cast("double").alias(name)
         for name in feature_cols
     ]

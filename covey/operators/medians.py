@@ -16,7 +16,8 @@ _RANKED_IN_ONE_TASK = 20_000
 
 @dataclass
 class _Bracket:
-    """The median is the ``rank``-th of the ``inside`` values between ``low`` and ``high``."""
+    """The median is the ``rank``-th of the ``inside`` values between ``low`` and ``high``; the
+    ends themselves are out once the bracket is ``open``."""
 
     name: str
     low: float
@@ -24,6 +25,7 @@ class _Bracket:
     rank: int
     inside: int
     slack: float = 2 / _ACCURACY
+    open: bool = False
 
     @property
     def found(self) -> bool:
@@ -31,8 +33,14 @@ class _Bracket:
 
     def value(self) -> Column:
         v = _valid(self.name)
+        if self.open:
+            return F.when((v > self.low) & (v < self.high), v)
         return F.when(v.between(self.low, self.high), v)
 
+    def close_on(self, value: float) -> None:
+        self.low = self.high = value
+        self.open = False
+
 
 def exact_lower_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """The smallest value with at least half of the valid values at or below it, per column.
@@ -40,7 +48,9 @@ def exact_lower_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, floa
     Each round is two aggregations over the columns: a quantile sketch proposes a narrow bracket
     around the median, counting proves it. A bracket keeps about 1 value in 2,000, so the round
     count grows with the logarithm of the input; once few enough values are left, they are
-    ranked. A value repeated in many rows closes its bracket at once.
+    ranked. The proposal's two ends are values of the column and are counted on their own: either
+    one of them is the median, or they leave the bracket. So every round that finds the median
+    between them has fewer values inside, and one that doesn't looks wider.
     """
     brackets, proposals = _whole_columns(df, columns)
     while wide := [b for b in brackets if not b.found and b.inside > _RANKED_IN_ONE_TASK]:
@@ -99,15 +109,33 @@ def _narrow(df: DataFrame, brackets: list[_Bracket], proposals: dict[str, list[f
         *[
             F.struct(
                 F.count(F.when(b.value() < proposals[b.name][0], True)),
-                F.count(F.when(b.value().between(*proposals[b.name]), True)),
+                F.count(F.when(b.value() == proposals[b.name][0], True)),
+                F.count(
+                    F.when(
+                        (b.value() > proposals[b.name][0]) & (b.value() < proposals[b.name][1]), True
+                    )
+                ),
+                F.count(
+                    F.when(
+                        (b.value() == proposals[b.name][1])
+                        & F.lit(proposals[b.name][0] < proposals[b.name][1]),
+                        True,
+                    )
+                ),
             ).alias(str(i))
             for i, b in enumerate(brackets)
         ]
     ).first()
-    for b, (below, inside) in zip(brackets, counts):
-        if below < b.rank <= below + inside:
-            b.low, b.high = proposals[b.name]
-            b.rank, b.inside = b.rank - below, inside
+    for b, (below, at_low, between, at_high) in zip(brackets, counts):
+        low, high = proposals[b.name]
+        rank = b.rank - below
+        if 0 < rank <= at_low:
+            b.close_on(low)
+        elif at_low < rank <= at_low + between:
+            b.low, b.high, b.open = low, high, True
+            b.rank, b.inside = rank - at_low, between
+        elif at_low + between < rank <= at_low + between + at_high:
+            b.close_on(high)
         else:
             # The sketch missed: look wider, up to the whole bracket.
             b.slack = min(1.0, b.slack * 4)
@@ -126,4 +154,4 @@ def _ranked(df: DataFrame, brackets: list[_Bracket]) -> None:
         for i, b in enumerate(brackets)
     ]
     for b, value in zip(brackets, values.agg(*picks).first()):
-        b.low = b.high = value
+        b.close_on(value)

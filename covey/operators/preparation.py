@@ -41,8 +41,11 @@ class Preparation:
 
 def stage_columns(columns: Sequence[str]) -> list[str]:
     """The names ML stages know the columns by: their own, unless a stage would read the name as
-    a path into a struct."""
-    return [f"feature_{i}" if "." in c or "`" in c else c for i, c in enumerate(columns)]
+    a path into a struct. Names made up for those differ from all of the columns' own."""
+    prefix = "feature_"
+    while any(c.startswith(prefix) for c in columns):
+        prefix += "_"
+    return [f"{prefix}{i}" if "." in c or "`" in c else c for i, c in enumerate(columns)]
 
 
 def with_stage_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -11,6 +11,10 @@ from covey.functions.columns import column
 from covey.operators.clustering import PREDICTION
 
 
+# Fixed value: the column that counts a cluster's rows.
+ROWS = "n"
+
+
 def cluster_profiles(
     assigned: DataFrame, features: Sequence[str], decimals: int = 4
 ) -> DataFrame:
@@ -18,7 +22,7 @@ def cluster_profiles(
     skipped), not over imputed values. Partial sums leave one row per task and cluster."""
     means = [F.round(F.avg(column(c)), decimals).alias(c) for c in features]
     return (
-        assigned.groupBy(PREDICTION).agg(F.count("*").alias("n"), *means).orderBy(PREDICTION)
+        assigned.groupBy(PREDICTION).agg(F.count("*").alias(ROWS), *means).orderBy(PREDICTION)
     )
 
 
@@ -33,6 +37,7 @@ def prediction_summary(
     """The one-row summary of a scoring run, from its per-cluster counts (at most k rows)."""
     cluster = F.struct(PREDICTION, "count")
     return counts.agg(
+        # The fields of the summary.
         F.lit(run_id).alias("run_id"),
         F.lit(run_id).alias("created_at"),
         F.lit(model_path).alias("model_path"),

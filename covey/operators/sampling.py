@@ -153,5 +153,7 @@ def _repeated(df: DataFrame, copies: Column) -> DataFrame:
         df.withColumn("__left", copies.cast("long"))
         .where(F.col("__left") > 0)
         .withColumn("__block", F.explode(F.sequence(one, blocks)))
+        # Blocks of one row go to different tasks, so none writes all copies of a hot row.
+        .repartition(*[column(name) for name in df.columns if not name.startswith("__")], "__block")
         .withColumn("__copy", F.explode(F.sequence(one, in_block)))
     )

@@ -22,14 +22,14 @@ NUMERIC_TYPES = (
 class Params:
     """Everything a training or scoring job can be tuned with.
 
-    ``target_n`` caps the rows a model is fitted on (``None`` fits on all of them).
+    ``target_n`` caps the rows a model is fitted on; without it all distinct rows are used.
     ``distance_measure`` drives the silhouette only; the fit itself is euclidean.
     ``relative_error`` 0.0 asks for exact medians.
     """
 
     # Defaults of the published configuration.
     min_non_null_ratio: float = 0.9
-    target_n: int | None = 100_000
+    target_n: int | None = None
     imputer_strategy: str = "median"
     k_min: int = 2
     k_max: int = 10

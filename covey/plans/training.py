@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from covey.errors import TooFewRows
+from covey.errors import ReservedNames, TooFewRows
 from covey.functions.columns import column
 from covey.functions.documents import as_documents
 from covey.functions.flatten import name_columns
@@ -19,15 +19,18 @@ from covey.operators.clustering import (
     training_vectors,
 )
 from covey.operators.features import align, select_features
-from covey.operators.profiles import cluster_profiles
+from covey.operators.preparation import RAW_VECTOR, VECTOR, imputed
+from covey.operators.profiles import ROWS, cluster_profiles
 from covey.operators.sampling import capped_sample
 from covey.params import Params
 from covey.sinks import collections as names
 from covey.sinks.collections import CollectionStore, stamped
 from covey.sinks.files import write_csv_parts, write_json_document, write_single_csv
 from covey.sinks.models import FittedModel, save_model
+from covey.sources.shared import materialise
 from covey.sources.tables import read_parquet
 
+# The fields of the metrics document.
 METRICS_SCHEMA = T.StructType(
     [
         T.StructField("best_k", T.IntegerType()),
@@ -43,7 +46,7 @@ METRICS_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class TrainResult:
-    """A fitted model and its reports. Every frame is lazy over the written working table."""
+    """A fitted model and its reports, all read from written tables."""
 
     model: FittedModel
     assignments: DataFrame
@@ -55,13 +58,16 @@ class TrainResult:
 
 @dataclass(frozen=True)
 class TrainingOutputs:
-    """Where a training run leaves its results; what is ``None`` is not written."""
+    """Where a training run leaves its results; what is ``None`` is not written. The assignments
+    are a directory of parts unless ``clusters_single_file`` asks for one file, which one task
+    writes: for results known to be small."""
 
     model_root: str | None = None
     clusters_csv: str | None = None
     profiles_csv: str | None = None
     centers_csv: str | None = None
     metrics_json: str | None = None
+    clusters_single_file: bool = False
 
 
 def train(raw: DataFrame, params: Params = Params()) -> TrainResult:
@@ -82,6 +88,9 @@ def train_on(
     """Train on known features of ``raw``, a table of ``total`` rows."""
     if product_cols is None:
         product_cols = list(name_columns(raw.schema, params.name_column))
+    taken = {PREDICTION, ROWS, VECTOR, RAW_VECTOR, *imputed(features)}
+    if clash := sorted(taken & {*features, *product_cols}):
+        raise ReservedNames(clash)
     working = working_table(raw, features, product_cols, total, params)
     rows = working.count()
     if rows < params.min_rows:
@@ -105,8 +114,12 @@ def train_on(
         input_path,
     )
     assigned = found.best_model.transform(preparation.transform(working))
-    assignments = assigned.select(
-        *[column(c) for c in product_cols], *[column(c) for c in features], PREDICTION
+    # Written once: the profiles, the files and the collections all read it from there.
+    assignments = materialise(
+        assigned.select(
+            *[column(c) for c in product_cols], *[column(c) for c in features], PREDICTION
+        ),
+        "assignments",
     )
     spark = raw.sparkSession
     metrics = spark.createDataFrame(
@@ -175,7 +188,7 @@ def run_training(
         )
 
     result = train_on(source, features, total, params, product_cols, input_path)
-    _write_files(result, outputs, params)
+    _write_files(result, outputs)
     manifest = None
     if outputs.model_root is not None:
         manifest = save_model(spark, result.model, outputs.model_root)
@@ -190,10 +203,9 @@ def run_training(
     return result
 
 
-def _write_files(result: TrainResult, outputs: TrainingOutputs, params: Params) -> None:
+def _write_files(result: TrainResult, outputs: TrainingOutputs) -> None:
     if outputs.clusters_csv is not None:
-        # One file only while target_n bounds it.
-        write = write_csv_parts if params.target_n is None else write_single_csv
+        write = write_single_csv if outputs.clusters_single_file else write_csv_parts
         write(result.assignments, outputs.clusters_csv)
     if outputs.profiles_csv is not None:
         write_single_csv(result.profiles, outputs.profiles_csv)

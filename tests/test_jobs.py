@@ -8,6 +8,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from catalog import nearest
 from covey import Params, TrainingOutputs, errors, run_scoring, run_training, score, train
 from covey.operators import clustering, preparation, profiles
 from covey.plans.wordcount import word_count_job
@@ -177,7 +178,7 @@ def test_constant_slot_scales_to_zero(spark):
 
 def test_nearest_center_prefers_the_first(spark):
     df = spark.createDataFrame([(5.0,), (1.0,), (9.0,)], "x double")
-    out = clustering.assign_to_centers(df, ["x"], [(0.0,), (10.0,)])
+    out = nearest.assign_to_centers(df, ["x"], [(0.0,), (10.0,)])
     assert [r.prediction for r in out.collect()] == [0, 0, 1]
 
 
@@ -272,3 +273,35 @@ def test_words_split_as_python_does(spark, tmp_path):
     path.write_text(text + "\n\n   \n", encoding="utf-8")
     got = {r.word for r in word_count_job(spark, str(path)).collect()}
     assert got == set(text.split())
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "CAST(id % 2 AS DOUBLE)",
+        "CAST(id % 50 + 1 AS DOUBLE)",
+        "IF(id < 49990, 1.0D, 2.0D)",
+        "IF(id < 50010, 1.0D, 2.0D)",
+        "CAST(id % 3 AS DOUBLE) - 1e-3",
+    ],
+)
+def test_exact_medians_of_heavy_values(spark, sql):
+    from covey.operators.medians import exact_lower_medians
+
+    rows = spark.range(100_000).selectExpr(f"{sql} AS v")
+    values = sorted(r.v for r in rows.collect())
+    assert exact_lower_medians(rows, ["v"]) == {"v": values[(len(values) - 1) // 2]}
+
+
+def test_names_that_results_need_are_refused(spark):
+    from covey.errors import ReservedNames
+
+    rows = spark.range(100).selectExpr("CAST(id AS DOUBLE) AS n", "CAST(id % 7 AS DOUBLE) AS x")
+    with pytest.raises(ReservedNames):
+        train(rows, Params(k_max=2))
+
+
+def test_partitions_grow_with_the_data_only_so_far():
+    assert clustering.canonical_partitions(1_000, 4) == 1
+    assert clustering.canonical_partitions(600_000, 8) == 24
+    assert clustering.canonical_partitions(10**11, 100) == 625_000
