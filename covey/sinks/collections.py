@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from covey.errors import EmptyCollection
 from covey.functions.columns import column
 from covey.functions.documents import as_documents
-from covey.sinks.files import path_exists
+from covey.sinks.files import delete, directories, path_exists
 
 # The collections the jobs keep, the fewest partitions an import is written with,
 # and the columns of an audit record.
@@ -38,9 +39,12 @@ IMPORT_SCHEMA = T.StructType(
 class CollectionStore:
     """Collections under one root.
 
-    With a file format, a collection is a table directory. With the name of a connector, pass
-    its options; ``collection_option`` is the option that takes the collection's name.
-    Rows go straight from executors to the store and back, never through the driver.
+    With a file format, a collection is a directory of versions, each a table. Readers take the
+    last version whose write was committed (Spark's ``_SUCCESS`` mark), so a replacement that fails
+    leaves the collection as it was; the version before the last stays for readers that are still
+    on it. With the name of a connector, pass its options; ``collection_option`` is the option that
+    takes the collection's name. Rows go straight from executors to the store and back, never
+    through the driver.
     """
 
     spark: SparkSession
@@ -52,10 +56,11 @@ class CollectionStore:
     def replace(self, name: str, df: DataFrame) -> int:
         """Replace a collection with ``df`` as documents; returns the rows the store now holds.
 
-        The write is Spark's overwrite commit, so a retried task cannot add a batch twice.
+        The write is one Spark commit, so a retried task cannot add a batch twice.
         """
-        self._write(name, as_documents(df), "overwrite")
-        return self._load(name).count()
+        documents = as_documents(df)
+        self._write(name, documents, "overwrite")
+        return self._load(name, documents.schema).count()
 
     def append(self, name: str, df: DataFrame) -> None:
         self._write(name, as_documents(df), "append")
@@ -76,7 +81,7 @@ class CollectionStore:
     ) -> DataFrame:
         """Chosen columns only (the scan is pruned to them), plus the ``optional`` ones that the
         collection has."""
-        if self.root is not None and not path_exists(self.spark, self._path(name)):
+        if self.root is not None and self._current(name) is None:
             raise EmptyCollection(name)
         df = self._load(name, schema)
         if columns is not None:
@@ -89,6 +94,22 @@ class CollectionStore:
     def _path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def _versions(self, name: str) -> list[str]:
+        """Version directories in order, unfinished ones included."""
+        return sorted(d for d in directories(self.spark, self._path(name)) if d.startswith("v"))
+
+    def _committed(self, name: str) -> list[str]:
+        paths = [f"{self._path(name)}/{v}" for v in self._versions(name)]
+        return [p for p in paths if path_exists(self.spark, f"{p}/_SUCCESS")]
+
+    def _current(self, name: str) -> str | None:
+        return (self._committed(name) or [None])[-1]
+
+    def _next(self, name: str) -> str:
+        last = (self._versions(name) or ["v0"])[-1]
+        number = int(last[1:].split("-")[0]) + 1
+        return f"{self._path(name)}/v{number:010d}-{uuid.uuid4().hex}"
+
     def _target(self, name: str) -> dict[str, str]:
         if self.root is not None:
             return dict(self.options)
@@ -98,14 +119,17 @@ class CollectionStore:
         reader = self.spark.read.format(self.format).options(**self._target(name))
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.load(self._path(name)) if self.root is not None else reader.load()
+        return reader.load(self._current(name)) if self.root is not None else reader.load()
 
     def _write(self, name: str, df: DataFrame, mode: str) -> None:
         writer = df.write.format(self.format).mode(mode).options(**self._target(name))
-        if self.root is not None:
-            writer.save(self._path(name))
-        else:
+        if self.root is None:
             writer.save()
+            return
+        current = self._current(name)
+        writer.save(current if mode == "append" and current else self._next(name))
+        for old in self._committed(name)[:-2]:
+            delete(self.spark, old)
 
 
 def at_least_partitions(df: DataFrame, least: int) -> DataFrame:

@@ -44,6 +44,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def directories(spark: SparkSession, path: str) -> list[str]:
+    """Names of the directories in ``path``; none if there is no such path."""
+    files, target = _filesystem(spark, path)
+    if not files.exists(target):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, target = _filesystem(spark, path)
+    files.delete(target, True)
+
+
 def _staging(path: str) -> str:
     """A fresh sibling directory, so that nothing the user owns is ever cleared."""
     parent, _, name = path.rstrip("/").rpartition("/")

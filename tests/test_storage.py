@@ -8,7 +8,7 @@ import pytest
 from covey import errors
 from covey.functions.documents import as_documents
 from covey.sinks.collections import CollectionStore, at_least_partitions
-from covey.sinks.files import write_csv_parts, write_json_document, write_single_csv
+from covey.sinks.files import path_exists, write_csv_parts, write_json_document, write_single_csv
 from covey.sources import shared, tables
 
 NAN, INF = float("nan"), float("inf")
@@ -77,6 +77,17 @@ def test_store(spark, tmp_path, fmt):
         store.read("things", schema=df.schema)
 
 
+def test_a_failed_replacement_leaves_the_old_rows(spark, tmp_path):
+    store = CollectionStore(spark, str(tmp_path))
+    store.replace("things", spark.range(5))
+    with pytest.raises(Exception, match="broken"):
+        store.replace("things", spark.range(9).selectExpr("IF(id = 8, raise_error('broken'), id) AS id"))
+    assert store.read("things").count() == 5
+    for n in (6, 7, 8):
+        assert store.replace("things", spark.range(n)) == n
+    assert store.read("things").count() == 8
+
+
 def test_connector_formats_take_no_path(spark):
     store = CollectionStore(spark, None, "noop", {"batch": "1000"})
     store.append("things", spark.range(3))
@@ -129,6 +140,13 @@ def test_shared_dir_comes_from_the_session(spark, tmp_path):
     assert configured in table.inputFiles()[0]
 
 
+def test_removed_tables_are_gone(spark):
+    path = shared.fresh_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    shared.remove(spark, path)
+    assert not path_exists(spark, path)
+
+
 def test_json_lines_with_and_without_schema(spark, tmp_path):
     path = tmp_path / "x.json"
     path.write_text('{"b": 1.5, "a": null}\n{"b": 2}\n')
