@@ -26,7 +26,7 @@ from covey.params import Params
 from covey.sinks import collections as names
 from covey.sinks.collections import CollectionStore, stamped
 from covey.sinks.files import write_csv_parts, write_json_document, write_single_csv
-from covey.sinks.models import FittedModel, save_model
+from covey.sinks.models import FittedModel, manifest_frame, save_model
 from covey.sources.shared import materialise
 from covey.sources.tables import read_parquet
 
@@ -189,17 +189,17 @@ def run_training(
 
     result = train_on(source, features, total, params, product_cols, input_path)
     _write_files(result, outputs)
-    manifest = None
     if outputs.model_root is not None:
         manifest = save_model(spark, result.model, outputs.model_root)
+    else:
+        manifest = manifest_frame(spark, result.model, "")
     if store is not None:
         run_id = utc_now()
         store.replace(names.CLUSTERS, result.assignments)
         store.replace(names.PROFILES, result.profiles)
         store.replace(names.CENTERS, result.centers)
         store.replace(names.METRICS, stamped(result.metrics, run_id))
-        if manifest is not None:
-            store.replace(names.MODEL_INFO, stamped(manifest, run_id))
+        store.replace(names.MODEL_INFO, stamped(manifest, run_id))
     return result
 
 

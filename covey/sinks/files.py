@@ -4,19 +4,33 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from covey.functions.columns import column
 
 
 def write_csv_parts(df: DataFrame, path: str, empty_as: str | None = None) -> None:
     """CSV with a header, as a directory of parts written in parallel: the form for results
-    that grow with the input."""
+    that grow with the input. ``empty_as`` is written for an empty text; a text that equals it is
+    an error, as it would be read back as empty."""
+    if empty_as is not None:
+        df = df.select(*[_unlike(f, empty_as) for f in df.schema.fields])
     writer = df.write.mode("overwrite").option("header", True)
     if empty_as is not None:
         writer = writer.option("emptyValue", empty_as)
     writer.csv(path)
 
 
+def _unlike(field: T.StructField, mark: str) -> Column:
+    value = column(field.name)
+    if isinstance(field.dataType, T.StringType):
+        clash = F.raise_error(f"a text of column {field.name} equals the mark of empty texts")
+        value = F.when(value == mark, clash.cast("string")).otherwise(value)
+    return value.alias(field.name)
+
+
 def write_single_csv(df: DataFrame, path: str, gathered: bool = False) -> None:
     """One CSV file with a header, replaced if present. For results of bounded size only:
     profiles, centres, and assignments of a capped sample. ``gathered`` says that ``df`` is one

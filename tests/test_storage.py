@@ -114,6 +114,11 @@ def test_csv_keeps_empty_and_null_apart(spark, tmp_path):
     assert sorted(map(tuple, back.collect()), key=lambda r: r[1]) == [("", 1), (None, 2), ("x", 3)]
 
 
+def test_csv_refuses_the_mark_itself(spark, tmp_path):
+    with pytest.raises(Exception, match="equals the mark"):
+        write_csv_parts(spark.createDataFrame([("<empty>",)], "s string"), str(tmp_path / "x"), "<empty>")
+
+
 def test_single_csv_is_one_file_and_replaced(spark, tmp_path):
     path = tmp_path / "out.csv"
     (tmp_path / "out").mkdir()
