@@ -3,7 +3,7 @@
 1. language ID: documents whose language can't be told go;
 2. n-gram Jaccard join: of each class of near copies the document of smallest doc_id stays;
 3. substring dedup: words in windows that repeat anywhere go from the texts, which become the
-   words that are left, joined by one space; a document left without any word goes;
+   words that are left, joined by one space; a document left without any word stays, empty;
 4. benchmark decontamination: documents into which a benchmark item leaks go;
 5. byte-level BPE: the ids of each text, with digests of the ids and of the text decoded again.
 
@@ -44,12 +44,10 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     known, plain = _identified(docs)
     done = fmindex.remove_repeats(known.select(F.col("_num").alias("doc_id"), "text")).filter("n_removed > 0")
     changed = done.select(F.col("doc_id").alias("_num"), F.col("kept").cast("string").alias("_kept"))
-    text = F.coalesce("_kept", "text")
     return (
         known.join(changed, "_num", "left")
-        .filter(F.col("_kept").isNull() | (F.col("_kept") != ""))
-        .withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept")))
-        .withColumn("text", text)
+        .withColumn("n_chars", F.coalesce(F.length("_kept"), "n_chars"))
+        .withColumn("text", F.coalesce("_kept", "text"))
         .select(*plain)
     )
 
@@ -59,6 +57,7 @@ def _identified(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     odd = docs.groupBy("doc_id").count().filter("doc_id IS NULL OR count > 1").limit(1)
     if odd.isEmpty():
         return docs.withColumn("_num", F.col("doc_id")), docs.columns
+    # Written down, so that the numbers are the same whenever they are read.
     return materialise(docs.withColumn("_num", F.monotonically_increasing_id()), "identified"), docs.columns
 
 
