@@ -69,7 +69,17 @@ def _bernoulli(df: DataFrame, target_n: int, seed: int, distinct: bool) -> DataF
     total = rows.count()
     if total <= target_n:
         return rows
-    return materialise(rows.sample(False, target_n / total, seed).limit(target_n), "sample")
+    # A few rows too many may be drawn; the ones with the largest random keys go again.
+    drawn = materialise(
+        rows.sample(False, target_n / total, seed).withColumns(
+            {_KEY: F.lpad(F.hex(F.xxhash64(F.rand(seed))), 16, "0"), _COPIES: F.lit(1).cast("long")}
+        ),
+        "sample",
+    )
+    last, wanted = _cut(drawn, target_n)
+    if last is not None:
+        drawn = drawn.where(F.col(_KEY) <= last if wanted else F.col(_KEY) < last)
+    return drawn.select(*[column(name) for name in df.columns])
 
 
 def _candidates(
