@@ -38,7 +38,8 @@ EVERY = 256
 END_ID = 1
 IDS_PER_FILE = 1 << 22
 _HEAD, _TAIL = b"COVH1\0\0\0", b"COVH1END"
-_WORDS_KEPT = 1 << 19
+_STRETCHES_KEPT = 1 << 19
+_WORDS_KEPT = 1 << 20
 
 
 # --- code ----------------------------------------------------------------------------------
@@ -154,7 +155,8 @@ class WordTokenizer:
 
     What a new stretch consists of is looked up too: closing ASCII punctuation after a letter or
     digit is a piece of its own. The library gets many words in one text, which costs it less than
-    many texts; as a word of letters is one piece, its number of the piece tells them apart."""
+    many texts; as a word of letters is one piece, its number of the piece tells them apart. Ids are
+    kept as bytes, 32 bits wide, so a text's ids are one join of its stretches'."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -162,24 +164,26 @@ class WordTokenizer:
 
         self.library = tokenizers.Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.seen: dict[str, list[int]] = {}
-        self.words: dict[str, list[int]] = {}
+        self.seen: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         parts = [t.split(" ") for t in texts]
         new = set().union(*parts) - self.seen.keys()
-        if len(self.seen) + len(new) > _WORDS_KEPT:
+        if len(self.seen) + len(new) > _STRETCHES_KEPT:
             self.seen.clear()
-            self.words.clear()
             new = set().union(*parts)
+        if len(self.words) + len(new) > _WORDS_KEPT:
+            self.words.clear()
         halves = {x: _halves(x) for x in new}
         self._learn(set(chain.from_iterable(halves.values())) - self.words.keys())
         words = self.words
         self.seen.update((x, words[a] + words[b]) for x, (a, b) in halves.items())
         look = self.seen.__getitem__
-        out = [list(chain.from_iterable(map(look, p))) for p in parts]
+        out = [np.frombuffer(b"".join(map(look, p)), "<u4") for p in parts]
         for x in [x for x in new if len(x) > 64]:
             del self.seen[x]
+            self.words.pop(halves[x][0], None)
         return out
 
     def _learn(self, words: set[str]) -> None:
@@ -195,12 +199,13 @@ class WordTokenizer:
                 if len(cut) != len(group) or np.isnan(number).any():
                     other += group  # some word isn't one piece
                     continue
-                ids = got.ids
-                self.words.update(zip(group, (ids[a:b] for a, b in zip(cut, [*cut[1:], len(ids)], strict=True)), strict=True))
+                ids = np.array(got.ids, "<u4").tobytes()
+                ends = [*cut[1:], len(got.ids)]
+                self.words.update((w, ids[4 * a : 4 * b]) for w, a, b in zip(group, cut, ends, strict=True))
         for i in range(0, len(other), 1 << 14):
             some = other[i : i + (1 << 14)]
             got = self.library.encode_batch_fast(some, add_special_tokens=False)
-            self.words.update(zip(some, (g.ids for g in got), strict=True))
+            self.words.update((w, np.array(g.ids, "<u4").tobytes()) for w, g in zip(some, got, strict=True))
 
 
 def _halves(stretch: str) -> tuple[str, str]:
@@ -224,7 +229,7 @@ def tokens(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         for part in columns.texts(batches, "text", 1 << 22):
             out = []
             for ids in words.encode([t or "" for t in part.column(1).to_pylist()]):
-                out.append(press.compress(_planes(np.array([*ids, end_id], np.uint32))))
+                out.append(press.compress(_planes(np.append(ids, np.uint32(end_id)))))
             yield pa.record_batch([part.column(0), pa.array(out, pa.binary())], ["doc_id", "packed"])
 
     return docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, packed binary")
