@@ -18,6 +18,7 @@ Equal vectors are collapsed first and weigh as many as they are.
 
 from __future__ import annotations
 
+import functools
 import math
 import pickle
 from collections.abc import Iterator
@@ -35,9 +36,10 @@ from covey.sources.shared import materialise
 
 TREES = 6
 LEAF = 256
-SAMPLE = 2048
+SAMPLE = 8192
 LARGEST = 1 << 15
-_LEVELS = 7
+_LEVELS = 9
+_MARGIN = 0.35  # of the usual distance of two linked vectors along a direction
 _INNER = (0.2, 0.8)
 _FEWEST = 24
 _BLOCK = 1024
@@ -119,18 +121,17 @@ def _route(tree: int, node: int, x: np.ndarray, rows: np.ndarray, splits: dict)
 _ROW = "tree long, node long, rep long, size long, dim long, vec binary, done boolean"
 
 
-def _grow(rows: DataFrame, threshold: float, leaf: int, largest: int) -> tuple[DataFrame, int]:
-    """One round over rows of nodes; the rows of finished leaves are marked and go along."""
-    counts = rows.filter("NOT done").groupBy("tree", "node", "dim").agg(F.count("*").alias("n"))
-    large = materialise(counts.filter(F.col("n") > leaf), "forest-large")
+def _grow(rows: DataFrame, large: DataFrame, threshold: float, leaf: int, largest: int) -> DataFrame:
+    """The rows of the large nodes, routed to new nodes; ``done`` where a node stays whole."""
+    open_ = rows.join(large, ["tree", "node", "dim"])
     share = F.pmod(F.xxhash64("rep", "tree"), F.lit(1 << 20)) * F.col("n") < F.lit(SAMPLE << 20)
-    sample = rows.filter("NOT done").join(large, ["tree", "node", "dim"]).filter(share)
+    sample = open_.filter(share)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         tree, node, n = int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0]), int(pdf["n"].iloc[0])
         x = _unit(np.frombuffer(b"".join(pdf["vec"]), "<f4").reshape(len(pdf), -1).astype(np.float64))
         levels = min(_LEVELS, math.ceil(math.log2(n / leaf)) + 1)
-        margin = 0.6 * math.sqrt(2 * (1 - threshold) / x.shape[1])
+        margin = _MARGIN * math.sqrt(2 * (1 - threshold) / x.shape[1])
         splits = _fit(tree, node, x, levels, margin, False)
         if not splits and n > largest:
             splits = _fit(tree, node, x, 1, margin, True)
@@ -142,14 +143,13 @@ def _grow(rows: DataFrame, threshold: float, leaf: int, largest: int) -> tuple[D
         known: dict[bytes, dict] = {}
         for batch in batches:
             tree, node, dim = (batch.column(c).to_numpy() for c in ("tree", "node", "dim"))
-            done = batch.column("done").to_numpy(zero_copy_only=False)
             splits = batch.column("splits")
             group = np.unique(np.stack([tree, node, dim], 1), axis=0, return_inverse=True)[1].ravel()
             for g in range(int(group.max()) + 1 if len(group) else 0):
                 rows = np.flatnonzero(group == g)
                 i = int(rows[0])
                 data = splits[i].as_py()
-                if data is None or done[i]:
+                if data is None:
                     parts, finished = [(int(node[i]), np.arange(len(rows)))], True
                 else:
                     if data not in known:
@@ -165,8 +165,8 @@ def _grow(rows: DataFrame, threshold: float, leaf: int, largest: int) -> tuple[D
                         ["tree", "node", "rep", "size", "dim", "vec", "done"],
                     )
 
-    grown = rows.join(fitted, ["tree", "node"], "left").select(*[x.split()[0] for x in _ROW.split(", ")], "splits")
-    return grown.mapInArrow(route, _ROW), large.count()
+    grown = open_.join(fitted, ["tree", "node"], "left").select(*[x.split()[0] for x in _ROW.split(", ")], "splits")
+    return grown.mapInArrow(route, _ROW)
 
 
 def links(embeddings: DataFrame, threshold: float = 0.95, trees: int = TREES, leaf: int = LEAF, largest: int = LARGEST) -> DataFrame:
@@ -176,17 +176,21 @@ def links(embeddings: DataFrame, threshold: float = 0.95, trees: int = TREES, le
     rows = unique.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).select(
         F.col("tree").cast("long"), F.col("dim").alias("node"), "rep", "size", "dim", "vec", F.lit(False).alias("done")
     )
+    finished: list[DataFrame] = []
     while True:
-        rows, large = _grow(rows, threshold, leaf, largest)
-        rows = materialise(rows, "forest-rows")
-        if not large:
+        counts = rows.groupBy("tree", "node", "dim").agg(F.count("*").alias("n"))
+        large = materialise(counts.filter(F.col("n") > leaf), "forest-large")
+        finished.append(rows.join(large, ["tree", "node", "dim"], "left_anti").select(*rows.columns))
+        if large.isEmpty():
             break
-    named = rows.select("rep", "size", "vec", F.xxhash64("tree", "node", "dim").alias("leaf"))
+        grown = materialise(_grow(rows, large, threshold, leaf, largest), "forest-rows")
+        finished.append(grown.filter("done"))
+        rows = grown.filter("NOT done")
+    named = functools.reduce(DataFrame.unionByName, finished).select("rep", "size", "vec", F.xxhash64("tree", "node", "dim").alias("leaf"))
     leaves = named.groupBy("rep").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
     placed = (
         named.join(leaves, "rep")
         .select(F.col("leaf").alias("key"), "rep", "size", "leaves", F.col("vec").alias("stretch"))
-        .dropDuplicates(["key", "rep"])
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
