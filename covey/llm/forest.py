@@ -9,9 +9,10 @@ found in all trees are united: a link counts in the first leaf, by number, that
 A round grows every node that is still too large by several levels at once. Its splits are fitted
 on a sample of about ``SAMPLE`` vectors of the node (the documented bound); every vector is routed.
 A node whose split would send more than half of its sample to both sides is not split: its
-vectors are about as similar as links are, and a leaf compares them a block at a time. Such a node
-is split all the same beyond ``LARGEST`` vectors, with a margin of a twentieth of them; that keeps
-the classes (both sides share the margin's vectors) but may miss links between its halves.
+vectors are about as similar as links are, and a leaf compares them a block at a time. A leaf of
+more than ``LARGEST`` vectors is compared whole as well, by many tasks: its vectors are dealt to
+blocks of about that many, and each pair of blocks is a key of its own. Pairs of blocks whose
+vectors all share the same earlier leaf are left out, as every link of theirs counts there.
 
 Equal vectors are collapsed first and weigh as many as they are.
 """
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from covey.llm.anchors import whole_keys
@@ -38,6 +39,7 @@ TREES = 6
 LEAF = 256
 SAMPLE = 8192
 LARGEST = 1 << 15
+_WIDTH = 64  # of longer vectors, fewer make a block
 _LEVELS = 9
 _MARGIN = 0.35  # of the usual distance of two linked vectors along a direction
 _INNER = (0.2, 0.8)
@@ -88,22 +90,20 @@ def _child(node: int, side: int) -> int:
     return int(mix(np.array([node * 2 + side & (1 << 64) - 1], np.uint64)).view(np.int64)[0])
 
 
-def _fit(tree: int, node: int, x: np.ndarray, levels: int, margin: float, force: bool) -> dict[int, tuple[float, float]]:
+def _fit(tree: int, node: int, x: np.ndarray, levels: int, margin: float) -> dict[int, tuple[float, float]]:
     """Splits of a node and below: node -> where its projection is split, and the margin."""
-    if levels == 0 or len(x) < (4 if force else _FEWEST):
+    if levels == 0 or len(x) < _FEWEST:
         return {}
     where = x @ _direction(tree, node, x.shape[1])
     p = np.sort(where)
     a, b = (int(q * (len(p) - 1)) for q in _INNER)
     i = a + int(np.argmax(np.diff(p[a : max(b, a + 1) + 1])))
     cut = float((p[i] + p[i + 1]) / 2)
-    if force:
-        margin = min(margin, float(np.quantile(np.abs(p - cut), 0.05)))
-    elif (np.abs(p - cut) <= margin).mean() > 0.5:
+    if (np.abs(p - cut) <= margin).mean() > 0.5:
         return {}
     out = {node: (cut, margin)}
     for s, side in enumerate((where <= cut + margin, where > cut - margin)):
-        out |= _fit(tree, _child(node, s), x[side], levels - 1, margin, False)
+        out |= _fit(tree, _child(node, s), x[side], levels - 1, margin)
     return out
 
 
@@ -121,7 +121,7 @@ def _route(tree: int, node: int, x: np.ndarray, rows: np.ndarray, splits: dict)
 _ROW = "tree long, node long, rep long, size long, dim long, vec binary, done boolean"
 
 
-def _grow(rows: DataFrame, large: DataFrame, threshold: float, leaf: int, largest: int) -> DataFrame:
+def _grow(rows: DataFrame, large: DataFrame, threshold: float, leaf: int) -> DataFrame:
     """The rows of the large nodes, routed to new nodes; ``done`` where a node stays whole."""
     open_ = rows.join(large, ["tree", "node", "dim"])
     share = F.pmod(F.xxhash64("rep", "tree"), F.lit(1 << 20)) * F.col("n") < F.lit(SAMPLE << 20)
@@ -132,9 +132,7 @@ def _grow(rows: DataFrame, large: DataFrame, threshold: float, leaf: int, larges
         x = _unit(np.frombuffer(b"".join(pdf["vec"]), "<f4").reshape(len(pdf), -1).astype(np.float64))
         levels = min(_LEVELS, math.ceil(math.log2(n / leaf)) + 1)
         margin = _MARGIN * math.sqrt(2 * (1 - threshold) / x.shape[1])
-        splits = _fit(tree, node, x, levels, margin, False)
-        if not splits and n > largest:
-            splits = _fit(tree, node, x, 1, margin, True)
+        splits = _fit(tree, node, x, levels, margin)
         return pd.DataFrame({"tree": [tree], "node": [node], "splits": [pickle.dumps(splits)]})
 
     fitted = sample.groupBy("tree", "node").applyInPandas(fit, "tree long, node long, splits binary")
@@ -177,21 +175,33 @@ def links(embeddings: DataFrame, threshold: float = 0.95, trees: int = TREES, le
         F.col("tree").cast("long"), F.col("dim").alias("node"), "rep", "size", "dim", "vec", F.lit(False).alias("done")
     )
     finished: list[DataFrame] = []
+    whole: list[DataFrame] = []
     while True:
         counts = rows.groupBy("tree", "node", "dim").agg(F.count("*").alias("n"))
         large = materialise(counts.filter(F.col("n") > leaf), "forest-large")
         finished.append(rows.join(large, ["tree", "node", "dim"], "left_anti").select(*rows.columns))
         if large.isEmpty():
             break
-        grown = materialise(_grow(rows, large, threshold, leaf, largest), "forest-rows")
+        grown = materialise(_grow(rows, large, threshold, leaf), "forest-rows")
         finished.append(grown.filter("done"))
+        whole.append(grown.filter("done"))
         rows = grown.filter("NOT done")
-    named = functools.reduce(DataFrame.unionByName, finished).select("rep", "size", "vec", F.xxhash64("tree", "node", "dim").alias("leaf"))
+    number = F.xxhash64("tree", "node", "dim").alias("leaf")
+    named = functools.reduce(DataFrame.unionByName, finished).select("rep", number)
     leaves = named.groupBy("rep").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
-    placed = (
-        named.join(leaves, "rep")
-        .select(F.col("leaf").alias("key"), "rep", "size", "leaves", F.col("vec").alias("stretch"))
+    placed = leaves.join(unique, "rep").select("rep", "size", "vec", "leaves", F.posexplode("leaves").alias("at", "leaf")).select(
+        "leaf", "rep", "size", F.slice("leaves", F.lit(1), F.col("at")).alias("earlier"), F.col("vec").alias("stretch")
     )
+    room = F.least(F.lit(largest), F.greatest(F.lit(1), F.floor(F.lit(largest * _WIDTH) / F.col("dim"))))
+    if whole:
+        nodes = functools.reduce(DataFrame.unionByName, whole).groupBy("tree", "node", "dim").agg(F.count("*").alias("n"))
+        over = materialise(nodes.filter(F.col("n") > room).select(number, room.alias("room")), "forest-over")
+    small = placed
+    if whole and not over.isEmpty():
+        small = placed.join(over, "leaf", "left_anti")
+    keyed = small.select(F.col("leaf").alias("key"), F.lit(0).alias("side"), "rep", "size", "earlier", "stretch")
+    if whole and not over.isEmpty():
+        keyed = keyed.unionByName(_block_pairs(placed.join(over, "leaf")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_keys(batches, 1 << 22):
@@ -202,49 +212,87 @@ def links(embeddings: DataFrame, threshold: float = 0.95, trees: int = TREES, le
                     yield from _compare(batch.slice(a, b - a), threshold)
 
     return (
-        placed.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "rep long, n long, root long")
+        keyed.repartition("key").sortWithinPartitions("key", "side").mapInArrow(compare, "rep long, n long, root long")
+    )
+
+
+def _block_pairs(placed: DataFrame) -> DataFrame:
+    """The vectors of leaves with too many for one task, once for every pair of blocks that they
+    are compared in. ``side`` is 0 where a block is compared with itself, else 1 or 2.
+
+    The vectors of a leaf that were together in one earlier leaf already (the first of each) have
+    blocks of their own if they fill one, and these are not compared with one another."""
+    placed = materialise(
+        placed.withColumn("home", F.when(F.size("earlier") > 0, F.element_at("earlier", 1)).otherwise(F.col("leaf"))), "forest-whole"
+    )
+    homes = placed.groupBy("leaf", "home", "room").agg(F.count("*").alias("n")).withColumn(
+        "part", F.when(F.col("n") >= F.col("room"), F.col("home")).otherwise(F.col("leaf"))
+    )
+    parts = homes.groupBy("leaf", "part", "room").agg(F.ceil(F.sum("n") / F.col("room")).alias("blocks"))
+    every = Window.partitionBy("leaf")
+    before = every.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    plan = parts.select(
+        "leaf", "part", "blocks", F.coalesce(F.sum("blocks").over(before), F.lit(0)).alias("first"), F.sum("blocks").over(every).alias("all")
+    )
+    plan = materialise(homes.select("leaf", "home", "part").join(plan, ["leaf", "part"]), "forest-blocks")
+    first, end = F.col("first"), F.col("first") + F.col("blocks")
+    mine = first + F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    others = F.filter(
+        F.sequence(F.lit(0).cast("long"), F.col("all") - 1), lambda o: (F.col("part") == F.col("leaf")) | (o < first) | (o >= end)
+    )
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
+    return (
+        placed.join(plan, ["leaf", "home"])
+        .withColumns({"mine": mine, "other": F.explode(others)})
+        .select(
+            F.xxhash64("leaf", low, high).alias("key"),
+            F.when(low == high, 0).when(F.col("mine") == low, 1).otherwise(2).alias("side"),
+            "rep", "size", "earlier", "stretch",
+        )
     )
 
 
 def _compare(leaf: pa.RecordBatch, threshold: float) -> Iterator[pa.RecordBatch]:
-    here = leaf.column("key")[0].as_py()
+    side = leaf.column("side").to_numpy()
+    # Two blocks are compared with each other, anything else with itself.
+    half = int((side == 1).sum()) if side[0] else len(side)
+    if half == 0 or side[0] and half == len(side):
+        return
     x = _unit(_vectors(leaf.column("stretch")))
     rep, size = leaf.column("rep").to_numpy(), leaf.column("size").to_numpy()
-    lists = leaf.column("leaves")
+    lists = leaf.column("earlier")
     flat, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-    # Leaves by number: per vector a row, filled up with numbers that nothing shares.
+    # Earlier leaves by number: per vector a row, filled up with numbers that nothing shares.
     widest = int(np.diff(at).max())
     table = np.full((len(x), widest), -1, np.int64)
     spot = np.arange(len(flat)) - np.repeat(at[:-1], np.diff(at))
     owner = np.repeat(np.arange(len(x)), np.diff(at))
-    codes = np.unique(np.append(flat, here), return_inverse=True)[1]
-    table[owner, spot], mine = codes[:-1], codes[-1]
+    table[owner, spot] = np.unique(flat, return_inverse=True)[1]
     count = np.zeros(len(x), np.int64)
-    ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for i in range(0, len(x), _BLOCK):
-        for j in range(i, len(x), _BLOCK):
-            a, b = np.nonzero(x[i : i + _BLOCK] @ x[j : j + _BLOCK].T >= threshold)
+    known = np.arange(len(x))  # the class of each vector by the links so far
+    for i in range(0, half, _BLOCK):
+        for j in range(half if side[0] else i, len(x), _BLOCK):
+            a, b = np.nonzero(x[i : min(i + _BLOCK, half)] @ x[j : j + _BLOCK].T >= threshold)
             a, b = a + i, b + j
-            a, b = a[a < b], b[a < b]
+            if not side[0]:
+                a, b = a[a < b], b[a < b]
             if not len(a):
                 continue
-            group = roots(len(x), a, b)
-            moved = np.flatnonzero(group != np.arange(len(x)))
-            ends[0].append(moved), ends[1].append(group[moved])
-            # Only leaves before this one matter: a pair that shares one of them counted there.
+            news = np.flatnonzero(known[a] != known[b])
+            if len(news):
+                known = roots(len(x), np.concatenate([np.arange(len(x)), a[news]]), np.concatenate([known, b[news]]))
+            # A pair that shares an earlier leaf counted there.
             before = np.zeros(len(a), bool)
             for k in range(widest):
                 mark = table[a, k]
-                part = np.flatnonzero(~before & (mark >= 0) & (mark < mine))
+                part = np.flatnonzero(~before & (mark >= 0))
                 before[part] = (table[b[part]] == mark[part, None]).any(1)
             a, b = a[~before], b[~before]
             np.add.at(count, a, size[b])
             np.add.at(count, b, size[a])
-    order = np.argsort(rep)
-    place = np.empty(len(x), np.int64)
-    place[order] = np.arange(len(x))
-    group = roots(len(x), place[np.concatenate(ends[0])], place[np.concatenate(ends[1])])
-    root = rep[order][group[place]]
+    least = np.full(len(x), np.iinfo(np.int64).max)
+    np.minimum.at(least, known, rep)
+    root = least[known]
     out = (count > 0) | (root != rep)
     if out.any():
         yield pa.record_batch({"rep": rep[out], "n": count[out], "root": root[out]})

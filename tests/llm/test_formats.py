@@ -43,6 +43,21 @@ def test_forest_finds_all_links_here(spark):
     assert all(r.n_links <= want[r.vec_id][0] for r in split)
 
 
+def _wanted(x):
+    near = brute.cosine_links(x)
+    return {i: (int(near[i].sum()), int(r)) for i, r in enumerate(roots(len(x), *np.nonzero(near)))}
+
+
+def test_forest_leaves_beyond_the_largest(spark):
+    """Groups that no split takes apart, compared in blocks by many tasks: every link counts."""
+    pick = np.random.default_rng(5)
+    centres = pick.normal(size=(60, 24))
+    x = np.concatenate([centres, centres[:1] + pick.normal(size=(420, 24)) * 0.1, centres[1:2] + pick.normal(size=(260, 24)) * 0.02, centres[5:8]])
+    x = x.astype(np.float32).astype(np.float64)
+    got = forest.near_duplicates(_table(spark, x), leaf=32, largest=64).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == _wanted(x)
+
+
 def test_forest_odd_vectors(spark):
     good = [1.0, 2.0, 3.0]
     vectors = [good, None, [], [0.0, 0.0, 0.0], [1.0, None, 3.0], [float("nan"), 2.0, 3.0], [float("inf"), 2.0, 3.0], good, [1.0, 2.0], [2.0, 4.0, 6.0]]
