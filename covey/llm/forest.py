@@ -41,7 +41,7 @@ SAMPLE = 8192
 LARGEST = 1 << 15
 _WIDTH = 64  # of longer vectors, fewer make a block
 _LEVELS = 9
-_MARGIN = 0.35  # of the usual distance of two linked vectors along a direction
+_MARGIN = 0.6  # of the usual distance of two linked vectors along a direction
 _INNER = (0.2, 0.8)
 _FEWEST = 24
 _BLOCK = 1024
@@ -118,14 +118,16 @@ def _route(tree: int, node: int, x: np.ndarray, rows: np.ndarray, splits: dict)
     yield from _route(tree, _child(node, 1), x, rows[p > -margin], splits)
 
 
-_ROW = "tree long, node long, rep long, size long, dim long, vec binary, done boolean"
+_ROW = "tree long, node long, rep long, dim long, done boolean"
 
 
-def _grow(rows: DataFrame, large: DataFrame, threshold: float, leaf: int) -> DataFrame:
-    """The rows of the large nodes, routed to new nodes; ``done`` where a node stays whole."""
+def _grow(rows: DataFrame, unique: DataFrame, large: DataFrame, threshold: float, leaf: int) -> DataFrame:
+    """The rows of the large nodes, routed to new nodes; ``done`` where a node stays whole. Rows
+    only name their vectors (``unique``), which are joined to them by ``rep``."""
+    vectors = unique.select("rep", "vec")
     open_ = rows.join(large, ["tree", "node", "dim"])
     share = F.pmod(F.xxhash64("rep", "tree"), F.lit(1 << 20)) * F.col("n") < F.lit(SAMPLE << 20)
-    sample = open_.filter(share)
+    sample = open_.filter(share).join(vectors, "rep")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         tree, node, n = int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0]), int(pdf["n"].iloc[0])
@@ -135,7 +137,7 @@ def _grow(rows: DataFrame, large: DataFrame, threshold: float, leaf: int) -> Dat
         splits = _fit(tree, node, x, levels, margin)
         return pd.DataFrame({"tree": [tree], "node": [node], "splits": [pickle.dumps(splits)]})
 
-    fitted = sample.groupBy("tree", "node").applyInPandas(fit, "tree long, node long, splits binary")
+    fitted = materialise(sample.groupBy("tree", "node").applyInPandas(fit, "tree long, node long, splits binary"), "forest-splits")
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, dict] = {}
@@ -159,11 +161,11 @@ def _grow(rows: DataFrame, large: DataFrame, threshold: float, leaf: int) -> Dat
                     got = batch.take(pa.array(rows[some]))
                     n = len(some)
                     yield pa.record_batch(
-                        [got.column("tree"), pa.array(np.full(n, name)), *(got.column(c) for c in ("rep", "size", "dim", "vec")), pa.array(np.full(n, finished))],
-                        ["tree", "node", "rep", "size", "dim", "vec", "done"],
+                        [got.column("tree"), pa.array(np.full(n, name)), got.column("rep"), got.column("dim"), pa.array(np.full(n, finished))],
+                        ["tree", "node", "rep", "dim", "done"],
                     )
 
-    grown = open_.join(fitted, ["tree", "node"], "left").select(*[x.split()[0] for x in _ROW.split(", ")], "splits")
+    grown = open_.join(vectors, "rep").join(fitted, ["tree", "node"], "left").select("tree", "node", "rep", "dim", "vec", "splits")
     return grown.mapInArrow(route, _ROW)
 
 
@@ -172,7 +174,7 @@ def links(embeddings: DataFrame, threshold: float = 0.95, trees: int = TREES, le
     each leaf's classes, rep to root (itself if it is the smallest)."""
     unique = materialise(usable(embeddings), "forest-vectors")
     rows = unique.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).select(
-        F.col("tree").cast("long"), F.col("dim").alias("node"), "rep", "size", "dim", "vec", F.lit(False).alias("done")
+        F.col("tree").cast("long"), F.col("dim").alias("node"), "rep", "dim", F.lit(False).alias("done")
     )
     finished: list[DataFrame] = []
     whole: list[DataFrame] = []
@@ -182,7 +184,7 @@ def links(embeddings: DataFrame, threshold: float = 0.95, trees: int = TREES, le
         finished.append(rows.join(large, ["tree", "node", "dim"], "left_anti").select(*rows.columns))
         if large.isEmpty():
             break
-        grown = materialise(_grow(rows, large, threshold, leaf), "forest-rows")
+        grown = materialise(_grow(rows, unique, large, threshold, leaf), "forest-rows")
         finished.append(grown.filter("done"))
         whole.append(grown.filter("done"))
         rows = grown.filter("NOT done")
