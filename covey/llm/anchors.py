@@ -11,7 +11,9 @@ whose gram occurs nowhere else holds no repeated window.
 ``occurrences`` finds the contexts, one row each (for a span of 100 bytes about one per 35
 bytes). ``repeats`` brings those with the same gram together and settles what can be settled
 there: contexts equal as a whole. What is left, different contexts with one gram, is what
-``contexts`` fetches for the operators' own search.
+``contexts`` fetches for the operators' own search. A gram with more contexts than one task should
+hold (``_HOT`` bytes of them) is not searched that way: ``window_repeats`` tells its windows apart
+by hashes of their whole content, which Spark sorts.
 
 Equality of whole contexts is judged by 64-bit hashes among contexts of one 64-bit gram hash.
 """
@@ -30,6 +32,7 @@ from covey.llm.columns import mix
 from covey.sources.shared import materialise
 
 _BLOCK = 1 << 20
+_HOT = 1 << 24  # bytes of contexts of one gram
 _PLACE = 21  # bits of a place within a block and its overlap
 _P = 0x9E3779B97F4A7C15
 _INVERSE = pow(_P, -1, 1 << 64)
@@ -315,6 +318,81 @@ def contexts(docs: DataFrame, found: DataFrame, symbols: Symbols | None) -> Data
     )
 
 
+def by_heat(found: DataFrame, width: int) -> tuple[DataFrame, DataFrame | None]:
+    """Open contexts of grams that one task can search, and of those with more than ``_HOT`` bytes
+    of contexts, ``width`` a symbol (None if there are none)."""
+    open_ = found.filter("key IS NOT NULL")
+    sizes = open_.groupBy("key").agg(F.sum((F.col("stop") - F.col("start")) * width).alias("bytes"))
+    hot = materialise(sizes.filter(F.col("bytes") > _HOT).select("key"), "hot-grams")
+    if hot.isEmpty():
+        return open_, None
+    return open_.join(hot, "key", "left_anti"), open_.join(hot, "key", "left_semi")
+
+
+def window_repeats(docs: DataFrame, found: DataFrame, symbols: Symbols | None, span: int, both: bool) -> DataFrame:
+    """``num, start, stop`` of the repeated windows in open contexts, all but the first of equal
+    ones, or with ``both`` the first as well. Every window is a row; equal ones have one gram and
+    one 64-bit hash of their content, so they meet however many contexts the gram has."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max((1 << _PLACE) // (2 * span), 1)
+        for whole in batches:
+            for i in range(0, whole.num_rows, step):
+                batch = whole.slice(i, step)
+                stretch = batch.column("stretch").to_pylist()
+                data = np.frombuffer(b"".join(stretch), np.uint8 if symbols is None else np.uint64)
+                values = _BYTES[data] if symbols is None else data
+                at = np.concatenate([[0], np.cumsum([len(x) for x in stretch])]) // data.itemsize
+                count = np.diff(at) - span + 1
+                row = np.repeat(np.arange(len(count)), count)
+                nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                begin = at[row] + nth
+                key, num, start, twin = (batch.column(c).to_numpy()[row] for c in ("key", "num", "start", "twin"))
+                yield pa.record_batch(
+                    {"key": key, "window": mix(range_hashes(values)(begin, begin + span)).view(np.int64), "num": num, "start": start + nth, "twin": twin}
+                )
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last row of a batch waits for the next one; ``like`` tells if it equals the one before.
+        held, like = None, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = tuple(c.to_numpy() for c in batch.columns)
+            if held is not None:
+                rows = tuple(np.concatenate(x) for x in zip(held, rows, strict=True))
+            key, window, num, start, twin = rows
+            same = (key[1:] == key[:-1]) & (window[1:] == window[:-1])
+            before, after = np.append(like, same), np.append(same, False)
+            repeat = before | both & (after | (twin > 0))
+            if repeat[:-1].any():
+                yield _windows(num[:-1][repeat[:-1]], start[:-1][repeat[:-1]], span)
+            held, like = tuple(x[-1:] for x in rows), bool(before[-1])
+        if held is not None and (like or both and held[4][0] > 0):
+            yield _windows(held[2], held[3], span)
+
+    return (
+        contexts(docs, found, symbols)
+        .mapInArrow(windows, "key long, window long, num long, start long, twin int")
+        .repartition("key", "window")
+        .sortWithinPartitions("key", "window", "num", "start")
+        .mapInArrow(scan, "num long, start long, stop long")
+    )
+
+
+def _windows(num: np.ndarray, start: np.ndarray, span: int) -> pa.RecordBatch:
+    order = np.lexsort((start, num))
+    return runs(num[order], start[order], span)
+
+
+def _one(table: pa.Table) -> pa.RecordBatch:
+    """A table as one batch. Beyond 2 GB of content Arrow makes several; none may be dropped."""
+    batches = table.combine_chunks().to_batches()
+    if len(batches) > 1:
+        raise OverflowError(f"a key has more content than one batch can hold ({table.num_rows} rows)")
+    return batches[0]
+
+
 def whole_keys(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Batches sorted by ``key``, regrouped so that a key's rows stand in one batch, and a batch
     holds up to about ``most`` bytes of content (more only if one key does)."""
@@ -327,15 +405,15 @@ def whole_keys(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterat
         size += batch.column("stretch").nbytes
         if size < most:
             continue
-        table = pa.Table.from_batches(held).combine_chunks()
+        table = pa.Table.from_batches([_one(pa.Table.from_batches(held))])
         key = table.column("key").to_numpy()
         cut = int(np.searchsorted(key, key[-1]))
         if cut:
-            yield table.slice(0, cut).combine_chunks().to_batches()[0]
+            yield _one(table.slice(0, cut))
         held = table.slice(cut).to_batches()
         size = sum(b.column("stretch").nbytes for b in held) if cut else 0
     if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield _one(pa.Table.from_batches(held))
 
 
 def covered(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

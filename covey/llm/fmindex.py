@@ -160,7 +160,8 @@ def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataF
     window of ``span`` words that also starts anywhere else. Two tables; they may overlap."""
     rows = anchors.occurrences(docs, anchors.word_symbols, span, gram)
     found = materialise(anchors.repeats(rows, span, both=True), "window-anchors")
-    shards = anchors.contexts(docs, found, anchors.word_symbols).repartition("key").sortWithinPartitions("key")
+    usual, hot = anchors.by_heat(found, 8)
+    shards = anchors.contexts(docs, usual, anchors.word_symbols).repartition("key").sortWithinPartitions("key")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in anchors.whole_keys(batches, 1 << 23):
@@ -178,7 +179,10 @@ def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataF
             order = np.lexsort((start, num))
             yield anchors.runs(num[order], start[order], span)
 
-    return found.filter("key IS NULL"), shards.mapInArrow(search, "num long, start long, stop long")
+    searched = shards.mapInArrow(search, "num long, start long, stop long")
+    if hot is not None:
+        searched = searched.unionByName(anchors.window_repeats(docs, hot, anchors.word_symbols, span, both=True))
+    return found.filter("key IS NULL"), searched
 
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:

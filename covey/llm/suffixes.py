@@ -34,7 +34,8 @@ def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataF
         anchors.repeats(anchors.occurrences(docs, anchors.byte_symbols, span, gram), span, both=False),
         "suffix-anchors",
     )
-    sorted_ = anchors.contexts(docs, found, None).repartition("key").sortWithinPartitions("key")
+    usual, hot = anchors.by_heat(found, 1)
+    sorted_ = anchors.contexts(docs, usual, None).repartition("key").sortWithinPartitions("key")
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in anchors.whole_keys(batches):
@@ -42,7 +43,10 @@ def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataF
             if len(num):
                 yield anchors.runs(num, start, span)
 
-    return found.filter("key IS NULL"), sorted_.mapInArrow(rank, "num long, start long, stop long")
+    ranked = sorted_.mapInArrow(rank, "num long, start long, stop long")
+    if hot is not None:
+        ranked = ranked.unionByName(anchors.window_repeats(docs, hot, None, span, both=False))
+    return found.filter("key IS NULL"), ranked
 
 
 def _ranks(first: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:

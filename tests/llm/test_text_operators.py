@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +98,26 @@ def test_many_contexts_of_one_gram(spark, monkeypatch):
     assert got == sorted(brute.window_repeats(rows, 5))
 
 
+@pytest.mark.parametrize("hot", [0, 600])
+def test_hot_grams_are_split(spark, monkeypatch, hot):
+    """Grams with more contexts than one task should hold give the same repeats."""
+    monkeypatch.setattr(anchors, "_HOT", hot)
+    rows = _pieced(12, 50, "abé ", 6) + ODD
+    got = sorted((*r[:4], bytes(r[4])) for r in suffixes.remove_repeats(make_docs(spark, rows).repartition(3), 12, 4).collect())
+    assert got == sorted(brute.byte_repeats(rows, 12))
+    rows = _pieced(6, 50, ["a ", "b ", "c\n", "a"]) + ODD + [(910, "x y z w v u t"), (911, "x y z w v u t")]
+    rows += [(1000 + i, f"{i} {i * 7} common words here now {i % 3} {i % 2} t") for i in range(100)]
+    got = sorted((*r[:3], bytes(r[3])) for r in fmindex.remove_repeats(make_docs(spark, rows).repartition(3), 6, 2).collect())
+    assert got == sorted(brute.window_repeats(rows, 6))
+
+
+def test_no_rows_of_a_key_are_dropped():
+    """Beyond 2 GB Arrow cuts a key's content in several batches: an error, not a loss."""
+    batch = pa.record_batch({"key": np.zeros(1100, np.int64), "stretch": pa.array([bytes(1 << 20)] * 1100, pa.binary())})
+    with pytest.raises(OverflowError):
+        print([b.num_rows for b in anchors.whole_keys(iter([batch, batch]), 1 << 40)])
+
+
 def test_jaccard(spark):
     pick = random.Random(4)
     rows = list(ODD)
