@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covey.llm import bpe, decontamination, fmindex, forest, huffman, langid, ngrams, suffixes, tokencounts, warc
+from covey.llm import bpe, decontamination, fmindex, forest, huffman, langid, ngrams, spelling, suffixes, tokencounts, warc, whitening
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -69,7 +69,29 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = [op1_rp_forest, op2_byte_bpe, op3_token_counts, op4_warc_zip, op5_language_id, op6_suffix_dedup, op7_ngram_jaccard, op8_huffman_ids, op9_fm_index, op10_decontamination]
+def op11_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return whitening.transform(vectors, whitening.fit(vectors)).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_spelling_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = [
+    op1_rp_forest,
+    op2_byte_bpe,
+    op3_token_counts,
+    op4_warc_zip,
+    op5_language_id,
+    op6_suffix_dedup,
+    op7_ngram_jaccard,
+    op8_huffman_ids,
+    op9_fm_index,
+    op10_decontamination,
+    op11_cholesky_whitening,
+    op12_spelling_tiles,
+]
 ORACLES: dict[str, str] = {
     "op4_warc_zip": """
 WITH p AS (
