@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covey.llm import bpe, decontamination, fmindex, forest, huffman, langid, ngrams, spelling, suffixes, tokencounts, warc, whitening
+from covey.llm import bpe, decontamination, fmindex, forest, huffman, langid, ngrams, spelling, suffixes, tokencounts, toxicity, warc, whitening
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
 def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -38,9 +42,8 @@ def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     return langid.predict(docs.select("doc_id", "text"), langid.fit(docs)).select(
-        "doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+        "doc_id", _held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
     )
 
 
@@ -78,6 +81,14 @@ def op12_spelling_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
 
+def op13_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scorer = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", "text"), scorer).select(
+        "doc_id", _held_out().alias("held_out"), F.col("toxicity").alias("score"), F.col("toxic_pred").alias("predicted")
+    )
+
+
 QUERIES = [
     op1_rp_forest,
     op2_byte_bpe,
@@ -91,6 +102,7 @@ QUERIES = [
     op10_decontamination,
     op11_cholesky_whitening,
     op12_spelling_tiles,
+    op13_toxicity_gru,
 ]
 ORACLES: dict[str, str] = {
     "op4_warc_zip": """
