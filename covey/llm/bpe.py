@@ -19,15 +19,17 @@ Two facts make the joins exact:
   doubles.
 
 Pieces are joined this way only when longer than a leaf. Leaves not seen before are merged many at
-a time, and a bounded table keeps the ids of short pieces.
+a time, and a table bounded in bytes keeps the ids of short pieces. A worker process holds one
+encoder; ids are decoded where they are made, and the ids of texts in several segments by a decoder
+that holds the tokens only.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
-from collections.abc import Iterator
-from itertools import chain
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,36 +42,65 @@ from covey.llm.columns import text_buffer
 SEGMENT_CHARS = 1 << 16
 _LEAF_CHARS = 1 << 13
 _LEAF_BYTES = 48
-_PIECES_KEPT = 1 << 19
+_KEPT_BYTES = 48 << 20
+_ENTRY_BYTES = 200  # of the table, besides a piece's own characters and ids
 _CLASS = regex.compile(r"(\p{L})|(\p{N})|(\s)|(.)", regex.DOTALL)
 
 
-class ByteBpe:
+def _ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+
+class Decoder:
+    """The tokens of a vocabulary file by id."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """Bytes of the ids: leaves are looked up, then concatenated."""
+        look = self.tokens.__getitem__
+        parts = [
+            b"".join(map(look, ids[i : i + _LEAF_CHARS].tolist()))
+            for i in range(0, len(ids), _LEAF_CHARS)
+        ]
+        return b"".join(parts)
+
+
+class _Pieces(dict):
+    """Ids of pieces as bytes of 32-bit numbers; of a batch's long pieces beside them."""
+
+    long: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.long[piece]
+
+
+class ByteBpe(Decoder):
     """Encoder and decoder over the ranks of a vocabulary file."""
 
     def __init__(self, path: str, pattern: str):
-        with open(path, "rb") as lines:
-            self.ranks = {
-                base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)
-            }
-        self.tokens: list[bytes] = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
+        self.ranks = _ranks(path)
+        super().__init__(self.ranks)
         self.lengths = np.array([len(t) for t in self.tokens], np.int64)
         self.pieces = regex.compile(pattern).findall
-        self.seen: dict[str, tuple[int, ...]] = {}
+        self.seen, self.seen_bytes = _Pieces(), 0
         self._pair_table()
 
     def _pair_table(self) -> None:
         """Hash table from two ids to the id of both together, for whole arrays of pairs."""
         get = self.ranks.get
-        found = [
-            (get(token[:i]) << 32 | get(token[i:]), rank)
+        found = (
+            number
             for token, rank in self.ranks.items()
             for i in range(1, len(token))
             if token[:i] in self.ranks and token[i:] in self.ranks
-        ]
-        keys, values = (np.array(x, np.int64) for x in zip(*found, strict=True))
+            for number in (get(token[:i]) << 32 | get(token[i:]), rank)
+        )
+        keys, values = np.fromiter(found, np.int64).reshape(-1, 2).T
         size = min(1 << 24, 1 << (4 * len(keys)).bit_length())
         self.none = len(self.tokens)
         self._keys, self._values = np.full(size, -1), np.full(size, self.none, np.int32)
@@ -183,52 +214,44 @@ class ByteBpe:
             ]
         return level[0]
 
-    def _learn(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of pieces; the short ones are kept."""
-        if len(self.seen) + len(pieces) > _PIECES_KEPT:
+    def _learn(self, pieces: set[str]) -> None:
+        """Ids of pieces into the table; the long ones only until the next batch."""
+        if self.seen_bytes > _KEPT_BYTES:
             self.seen.clear()
+            self.seen_bytes = 0
         by_length: dict[int, list[str]] = {}
-        long: dict[str, tuple[int, ...]] = {}
+        self.seen.long = {}
         for p in pieces - self.seen.keys():
             n = len(p.encode())
             if n <= _LEAF_BYTES:
                 by_length.setdefault(n, []).append(p)
+                self.seen_bytes += _ENTRY_BYTES + 2 * n
             else:
-                long[p] = tuple(self._tree(p.encode()))
+                self.seen.long[p] = _packed(self._tree(p.encode()))
         for group in by_length.values():
             if len(group) < 8:
-                self.seen.update((p, tuple(self._merge(p.encode()))) for p in group)
+                self.seen.update((p, _packed(self._merge(p.encode()))) for p in group)
             else:
-                self.seen.update(zip(group, self._merge_many([p.encode() for p in group]), strict=True))
-        return long
+                many = self._merge_many([p.encode() for p in group])
+                self.seen.update((p, _packed(ids)) for p, ids in zip(group, many, strict=True))
 
     # --- texts ----------------------------------------------------------------------------
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of whole texts."""
         split = [[self.pieces(leaf) for leaf in leaves(t, _LEAF_CHARS)] for t in texts]
-        table = self.seen
-        if long := self._learn(set().union(*(p for parts in split for p in parts))):
-            table = {**self.seen, **long}
-        look = table.__getitem__
+        self._learn(set().union(*(p for parts in split for p in parts)))
+        look = self.seen.__getitem__
         return [
-            np.array(
-                list(chain.from_iterable(chain.from_iterable(map(look, p) for p in parts))), np.int32
-            )
-            for parts in split
+            np.frombuffer(b"".join([x for p in parts for x in map(look, p)]), np.int32) for parts in split
         ]
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_many([text])[0]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """Bytes of the ids: leaves are looked up, then concatenated."""
-        look = self.tokens.__getitem__
-        parts = [
-            b"".join(map(look, ids[i : i + _LEAF_CHARS].tolist()))
-            for i in range(0, len(ids), _LEAF_CHARS)
-        ]
-        return b"".join(parts)
+
+def _packed(ids: Sequence[int]) -> bytes:
+    return array("i", ids).tobytes()
 
 
 def leaves(text: str, most: int) -> list[str]:
@@ -266,6 +289,11 @@ def coder(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
+@functools.lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(_ranks(path))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, segment_chars: int = SEGMENT_CHARS) -> DataFrame:
     """``doc_id, ids array<int>`` of every text; a null text is empty, an empty one has no ids.
 
@@ -274,17 +302,29 @@ def encode(docs: DataFrame, path: str, pattern: str, segment_chars: int = SEGMEN
     document's segments then meet in order and their ids are concatenated. Rows are treated one
     by one: repeated rows and repeated or null ``doc_id`` give a row each.
     """
+    short, long = _encoded(docs, path, pattern, segment_chars, decoded=False)
+    return short.unionByName(long)
+
+
+def _encoded(
+    docs: DataFrame, path: str, pattern: str, segment_chars: int, decoded: bool
+) -> tuple[DataFrame, DataFrame]:
+    """The encoded texts of one segment, with ``decoded`` the bytes of their ids too, and those of
+    several segments."""
     texts = docs.select("doc_id", "text")
     short = texts.filter(F.coalesce(F.length("text"), F.lit(0)) <= segment_chars)
     long = texts.filter(F.length("text") > segment_chars)
-    schema = "doc_id long, ids array<int>"
+    schema = "doc_id long, ids array<int>" + (", decoded binary" if decoded else "")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path, pattern)
         for batch in batches:
             for part in _slices(batch):
                 got = bpe.encode_many([t or "" for t in part.column(1).to_pylist()])
-                yield pa.record_batch([part.column(0), id_lists(got)], ["doc_id", "ids"])
+                out = {"doc_id": part.column(0), "ids": id_lists(got)}
+                if decoded:
+                    out["decoded"] = pa.array([bpe.decode(ids) for ids in got], pa.binary())
+                yield pa.record_batch(out)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -304,7 +344,7 @@ def encode(docs: DataFrame, path: str, pattern: str, segment_chars: int = SEGMEN
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path, pattern)
         for batch in batches:
-            for some in _cut(batch, text_buffer(batch.column("text"))[1], 1 << 22):
+            for some in _cut(batch, text_buffer(batch.column("text"))[1], 1 << 20):
                 got = bpe.encode_many(some.column("text").to_pylist())
                 yield pa.record_batch(
                     [*some.columns[:3], id_lists(got)], ["doc_id", "row", "part", "ids"]
@@ -325,43 +365,38 @@ def encode(docs: DataFrame, path: str, pattern: str, segment_chars: int = SEGMEN
         .agg(F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("parts"))
         .select("doc_id", F.flatten("parts.ids").alias("ids"))
     )
-    return short.mapInArrow(whole, schema).unionByName(joined)
+    return short.mapInArrow(whole, schema), joined
 
 
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``doc_id, decoded binary``: the bytes of each list of ids (null: none)."""
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """``doc_id, ids, decoded binary``: the bytes of each list of ids (null: none)."""
 
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(path, pattern)
-        for batch in batches:
-            column = batch.column(1)
-            out = [
-                bpe.decode(ids.values.to_numpy(zero_copy_only=False)) if ids.is_valid else b""
-                for ids in column
-            ]
-            yield pa.record_batch([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "decoded"])
-
-    return encoded.select("doc_id", "ids").mapInArrow(bytes_of, "doc_id long, decoded binary")
-
-
-def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``doc_id, ids, decoded``: both ways in one pass over the encoded rows."""
-
-    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(path, pattern)
+        tokens = decoder(path)
         for batch in batches:
             for part in _id_slices(batch):
                 ids = part.column(1)
-                out = [bpe.decode(i.values.to_numpy(zero_copy_only=False)) for i in ids]
+                out = [
+                    tokens.decode(i.values.to_numpy(zero_copy_only=False)) if i.is_valid else b""
+                    for i in ids
+                ]
                 yield pa.record_batch(
                     [part.column(0), ids, pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"]
                 )
 
-    return encode(docs, path, pattern).mapInArrow(
-        both, "doc_id long, ids array<int>, decoded binary"
+    return encoded.select("doc_id", "ids").mapInArrow(
+        bytes_of, "doc_id long, ids array<int>, decoded binary"
     )
 
 
+def encode_decode(
+    docs: DataFrame, path: str, pattern: str, segment_chars: int = SEGMENT_CHARS
+) -> DataFrame:
+    """``doc_id, ids, decoded``: the ids of each text, and the bytes that these ids stand for."""
+    short, long = _encoded(docs, path, pattern, segment_chars, decoded=True)
+    return short.unionByName(decode(long, path))
+
+
 def with_digests(coded: DataFrame) -> DataFrame:
     """``doc_id, ids`` with the number of ids and the SHA-256 of the ids and of the bytes."""
     return coded.select(
@@ -380,7 +415,7 @@ def id_lists(lists: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
 
 
-def _slices(batch: pa.RecordBatch, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     yield from _cut(batch, text_buffer(batch.column(1))[1], most)
 
 

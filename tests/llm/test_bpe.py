@@ -48,6 +48,18 @@ def test_rows_of_every_kind(spark, library):
     want = sorted((str(r.doc_id), library.encode_ordinary(r.text or "")) for r in docs.collect())
     assert sorted((str(r.doc_id), r.ids) for r in got) == want
     assert bpe.encode_decode(docs.limit(0), BYTE_BPE, PATTERN).count() == 0
+    both = bpe.encode_decode(docs, BYTE_BPE, PATTERN, segment_chars=100).collect()
+    assert sorted((str(r.doc_id), r.ids) for r in both) == want
+    texts = sorted((str(r.doc_id), (r.text or "").encode()) for r in docs.collect())
+    assert sorted((str(r.doc_id), bytes(r.decoded)) for r in both) == texts
+
+
+def test_table_of_pieces_is_bounded(library, monkeypatch):
+    monkeypatch.setattr(bpe, "_KEPT_BYTES", 5_000)
+    coder = bpe.ByteBpe(BYTE_BPE, PATTERN)
+    for text in _texts(300, 250):
+        assert coder.encode(text).tolist() == library.encode_ordinary(text)
+        assert len(coder.seen) < 5_000 // 200 + 250
 
 
 def test_query(spark, tmp_path, library):
