@@ -408,7 +408,7 @@ ORACLES: dict[str, str] = {
         f"{DISTINCT_LINES}) AS n FROM range(2, 5) t(k)"
     ),
     "train_profiles_lineitem": "SELECT count(*) AS n, "
-    + ", ".join(f"round(avg({c}), 4) AS {c}" for c in LINE_NUMBERS)
+    + ", ".join(f"round(CAST(sum({c}) AS DOUBLE), 2) AS {c}" for c in LINE_NUMBERS)
     + f" FROM (SELECT DISTINCT {', '.join(LINE_NUMBERS)} FROM lineitem)",
     "train_files": (
         f"SELECT 'clusters' AS file, count(*) AS rows, count(*) AS told FROM ({FLAG_ROWS}) UNION ALL "

@@ -74,7 +74,7 @@ def _whole_columns(
     df: DataFrame, columns: Sequence[str]
 ) -> tuple[list[_Bracket], dict[str, list[float]]]:
     """Every column that has a valid value, unbracketed, and a first proposal for each."""
-    around = [0.5 - _Bracket.slack, 0.5 + _Bracket.slack]
+    around = _around(0.5, _Bracket.slack)
     whole = df.agg(
         *[
             F.struct(
@@ -97,7 +97,7 @@ def _whole_columns(
 def _proposed(df: DataFrame, brackets: list[_Bracket]) -> dict[str, list[float]]:
     sketches = df.agg(
         *[
-            F.percentile_approx(b.value(), _around(b), _ACCURACY).alias(str(i))
+            F.percentile_approx(b.value(), _around(b.rank / b.inside, b.slack), _ACCURACY).alias(str(i))
             for i, b in enumerate(brackets)
         ]
     ).first()
@@ -141,9 +141,8 @@ def _narrow(df: DataFrame, brackets: list[_Bracket], proposals: dict[str, list[f
             b.slack = min(1.0, b.slack * 4)
 
 
-def _around(b: _Bracket) -> list[float]:
-    at = b.rank / b.inside
-    return [max(0.0, at - b.slack), min(1.0, at + b.slack)]
+def _around(at: float, slack: float) -> list[float]:
+    return [max(0.0, at - slack), min(1.0, at + slack)]
 
 
 def _ranked(df: DataFrame, brackets: list[_Bracket]) -> None:

@@ -209,6 +209,7 @@ def test_whole_job(spark, products_path, tmp_path):
         f"{root}/profiles.csv",
         f"{root}/centers.csv",
         f"{root}/metrics.json",
+        clusters_single_file=True,
     )
     trained = run_training(spark, products_path, outputs, PARAMS, store)
     assert trained.model.best_k == 2

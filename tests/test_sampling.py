@@ -130,16 +130,15 @@ def test_median_by_narrowing(spark, monkeypatch):
 
 def test_median_widens_after_a_miss(spark, monkeypatch):
     monkeypatch.setattr(medians, "_RANKED_IN_ONE_TASK", 3)
-    misses = []
+    asked = []
     around = medians._around
 
-    def off_target(bracket):
-        if not misses:
-            misses.append(bracket.name)
-            return [0.0, 0.01]
-        return around(bracket)
+    def off_target(at, slack):
+        asked.append(slack)
+        return [0.0, 0.01] if len(asked) == 1 else around(at, slack)
 
     monkeypatch.setattr(medians, "_around", off_target)
     df = spark.range(10_001).select(F.col("id").cast("double").alias("x"))
     assert medians.exact_lower_medians(df, ["x"]) == {"x": 5000.0}
-    assert misses
+    # The second look, over the same bracket, was four times as wide.
+    assert asked[1] == 4 * asked[0]
