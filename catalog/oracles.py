@@ -330,6 +330,11 @@ ORACLES: dict[str, str] = {
         "SELECT * FROM (SELECT DISTINCT l_quantity, l_discount, l_returnflag FROM lineitem) "
         f"ORDER BY {_key(['l_quantity', 'l_discount', 'l_returnflag'])} LIMIT 500"
     ),
+    "capped_sample_default": (
+        "SELECT false AS distinct_rows, 5000 AS n, 0 AS mismatches UNION ALL "
+        "SELECT true, least(700, count(*)), 0 FROM "
+        "(SELECT DISTINCT l_quantity, l_discount, l_linenumber FROM lineitem)"
+    ),
     "capped_sample_copies": (
         "SELECT l_returnflag, l_linestatus, l_linenumber FROM lineitem "
         f"ORDER BY {_key(['l_returnflag', 'l_linestatus', 'l_linenumber'])} LIMIT 5000"
@@ -354,6 +359,7 @@ ORACLES: dict[str, str] = {
         f"({_silhouette(_labelled(FLAG_LABEL), LINE_FEATURES, cosine=True)})"
     ),
     "best_k": _best_k(),
+    "best_k_tie_and_nan": _best_k(),
     "cluster_profiles": (
         f"WITH t AS ({derived_sql(GAPS | {'l_quantity': 'l_quantity'})}) "
         f"SELECT prediction, count(*) AS n, round(avg(quantity), 4) AS quantity, "
@@ -404,7 +410,7 @@ ORACLES: dict[str, str] = {
     ),
     "score_batch_lineitem": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS mismatches FROM lineitem",
     "k_sweep_lineitem": (
-        "SELECT CAST(k AS INTEGER) AS k, true AS equal, (SELECT count(*) FROM "
+        "SELECT CAST(k AS INTEGER) AS k, true AS equal, true AS own_jobs, (SELECT count(*) FROM "
         f"{DISTINCT_LINES}) AS n FROM range(2, 5) t(k)"
     ),
     "train_profiles_lineitem": "SELECT count(*) AS n, "

@@ -22,6 +22,7 @@ from catalog.inputs import (
     table,
 )
 from covey.functions.documents import as_documents
+from covey.functions.keys import ContentKey
 from covey import errors
 from covey.operators import clustering, features, medians, preparation, profiles, sampling, words
 from covey.params import Params
@@ -31,6 +32,7 @@ from covey.sinks.collections import IMPORTS, METRICS, CollectionStore, stamped
 from covey.sinks.files import write_csv_parts
 from covey.sinks.models import load_model, save_model
 from covey.sources import tables
+from covey.sources.layout import StoredRows, store_distinct
 from covey.sources.shared import fresh_path, materialise
 
 CENTERS = [(10.0, 0.02), (25.0, 0.05), (40.0, 0.08)]
@@ -276,6 +278,23 @@ def capped_sample_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.capped_sample(rows, 5_000, seed=42, method="md5")
 
 
+def capped_sample_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default sample against a full ordering by its key, with copies and without."""
+    rows = table(spark, sf_dir, "lineitem").select("l_quantity", "l_discount", "l_linenumber")
+    key = ContentKey(rows.schema, 42)
+    found = []
+    for distinct, n in ((False, 5_000), (True, 700)):
+        sample = sampling.capped_sample(rows, n, seed=42, distinct=distinct)
+        ordered = (rows.distinct() if distinct else rows).orderBy(key.text()).limit(n)
+        wrong = sample.exceptAll(ordered).unionAll(ordered.exceptAll(sample))
+        found.append(
+            sample.agg(F.lit(distinct).alias("distinct_rows"), F.count("*").alias("n")).join(
+                wrong.agg(F.count("*").alias("mismatches"))
+            )
+        )
+    return found[0].union(found[1])
+
+
 # --- preparation ---------------------------------------------------------------------------
 
 
@@ -384,6 +403,18 @@ def best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("k", F.round("score", 6).alias("score"))
 
 
+def best_k_tie_and_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same choice among more: every grouping again under a larger k, and one without a score."""
+    scores = [
+        (again + k, clustering.silhouette(_labelled(spark, sf_dir, label)))
+        for k, label in ((2, STATUS_LABEL), (3, FLAG_LABEL), (7, "l_linenumber - 1"))
+        for again in (10, 0)
+    ]
+    scores.append((1, clustering.silhouette(_labelled(spark, sf_dir, "l_linenumber * 0"))))
+    best = clustering.best_of(spark.createDataFrame(scores, "k int, score double"))
+    return best.select("k", F.round("score", 6).alias("score"))
+
+
 def cluster_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     gaps = derived(table(spark, sf_dir, "lineitem"), GAPS | {"l_quantity": "l_quantity"})
     assigned = nearest.assign_to_centers(gaps, ["l_quantity", "discount"], CENTERS)
@@ -406,10 +437,15 @@ def _fitted(
     rows: DataFrame, columns: list[str], k: int
 ) -> tuple[DataFrame, preparation.Preparation, KMeansModel]:
     """The distinct rows prepared, and a model of ``k`` clusters over all of them."""
-    table_ = materialise(sampling.distinct_rows(rows), "distinct")
-    fitted, vectors = clustering.training_vectors(table_, table_.count(), columns, "mean", 0.001)
+    stored = _stored(rows)
+    fitted, vectors = clustering.training_vectors(stored, columns, "mean", 0.001)
     model = clustering.fit_kmeans(vectors, k, seed=42)
-    return fitted.transform(table_), fitted, model
+    vectors.unpersist()
+    return fitted.transform(stored.rows()), fitted, model
+
+
+def _stored(rows: DataFrame) -> StoredRows:
+    return store_distinct(rows, clustering.canonical_partitions(rows.count(), len(rows.columns)))
 
 
 def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -468,17 +504,19 @@ def k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def k_sweep_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over natural rows: does each k's score equal the closed form from the clusters' sums?"""
-    rows = materialise(
-        sampling.distinct_rows(table(spark, sf_dir, "lineitem").select(*LINE_FEATURES)), "distinct"
-    )
-    n = rows.count()
-    prepared, vectors = clustering.training_vectors(rows, n, LINE_FEATURES, "median", 0.0)
-    scores = clustering.sweep(vectors, n, len(LINE_FEATURES), Params(k_max=4)).scores.collect()
+    stored = _stored(table(spark, sf_dir, "lineitem").select(*LINE_FEATURES))
+    n = stored.rows().count()
+    prepared, vectors = clustering.training_vectors(stored, LINE_FEATURES, "median", 0.0)
+    swept = clustering.sweep(vectors, n, len(LINE_FEATURES), Params(k_max=4))
     checked = []
-    for k, found in scores:
+    for k, found in swept.scores.collect():
         assigned = clustering.fit_kmeans(vectors, k, Params().seed).transform(vectors)
-        checked.append((k, abs(found - _silhouette_from_sums(assigned, len(LINE_FEATURES))) < 1e-9, n))
-    return spark.createDataFrame(checked, "k int, equal boolean, n long")
+        equal = abs(found - _silhouette_from_sums(assigned, len(LINE_FEATURES))) < 1e-9
+        # Jobs of its own: some, and none that another k has too.
+        others = {job for other, ids in swept.jobs.items() if other != k for job in ids}
+        checked.append((k, equal, bool(swept.jobs[k]) and others.isdisjoint(swept.jobs[k]), n))
+    vectors.unpersist()
+    return spark.createDataFrame(checked, "k int, equal boolean, own_jobs boolean, n long")
 
 
 def _silhouette_from_sums(assigned: DataFrame, width: int) -> float:
@@ -724,6 +762,7 @@ QUERIES = [
     capped_sample,
     capped_sample_distinct,
     capped_sample_copies,
+    capped_sample_default,
     impute_surrogates,
     impute_values,
     scaler_stats,
@@ -734,6 +773,7 @@ QUERIES = [
     silhouette,
     silhouette_cosine,
     best_k,
+    best_k_tie_and_nan,
     cluster_profiles,
     prediction_summary,
     kmeans_fit,

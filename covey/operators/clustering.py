@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -19,7 +20,7 @@ from covey.errors import TooFewRowsForSweep
 from covey.functions.columns import column
 from covey.operators.preparation import VECTOR, Preparation, fit_preparation
 from covey.params import Params
-from covey.sources.shared import checkpointed
+from covey.sources.layout import StoredRows
 
 PREDICTION = "prediction"
 # Numbers in a partition: 128 MB of them, but up to 64 partitions while these would be smaller.
@@ -28,34 +29,24 @@ _CELLS_AT_LEAST = 200_000
 _SMALL_PARTITIONS = 64
 
 
-def canonical_layout(df: DataFrame, rows: int, width: int) -> DataFrame:
-    """The same rows in the same partitions and order, whatever layout they came in.
-
-    A KMeans fit draws its first centres per partition and sums in row order, so this is what
-    makes a seed reproducible. The number of partitions follows from the data's size alone.
-    Rows are hashed by all their columns: distinct rows spread evenly.
-    """
-    keys = [column(name) for name in df.columns]
-    return df.repartition(canonical_partitions(rows, width), *keys).sortWithinPartitions(*keys)
-
-
 def canonical_partitions(rows: int, width: int) -> int:
+    """Buckets of a fit's stored rows: from the data's size alone, not the cluster's, so that a
+    seed gives the same model everywhere."""
     cells = rows * width
     small = min(_SMALL_PARTITIONS, math.ceil(cells / _CELLS_AT_LEAST))
     return max(1, small, math.ceil(cells / _CELLS_PER_PARTITION))
 
 
 def training_vectors(
-    df: DataFrame, rows: int, columns: Sequence[str], strategy: str, relative_error: float
+    stored: StoredRows, columns: Sequence[str], strategy: str, relative_error: float
 ) -> tuple[Preparation, DataFrame]:
-    """Fit the preparation on ``df`` in its canonical layout; the vectors to cluster, checkpointed
-    in that layout."""
-    laid_out = canonical_layout(df, rows, len(columns)).persist()
-    try:
-        preparation = fit_preparation(laid_out, columns, strategy, relative_error)
-        return preparation, checkpointed(preparation.transform(laid_out).select(VECTOR))
-    finally:
-        laid_out.unpersist()
+    """Fit the preparation on the stored rows, in their layout; the vectors to cluster, persisted in
+    that layout. A lost partition comes back from its bucket, without a shuffle."""
+    with stored.in_layout() as rows:
+        chosen = rows.select(*[column(c) for c in columns])
+        preparation = fit_preparation(chosen, columns, strategy, relative_error)
+        vectors = preparation.transform(chosen).select(VECTOR)
+        return preparation, vectors.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit_kmeans(vectors: DataFrame, k: int, seed: int) -> KMeansModel:
@@ -87,12 +78,14 @@ def silhouette(
 
 @dataclass(frozen=True)
 class Sweep:
-    """Every score, and the model that won (``None`` when no score beats the floor)."""
+    """Every score, the model that won (``None`` when no score beats the floor), and the ids of
+    the Spark jobs that each k took."""
 
     scores: DataFrame
     best_k: int | None
     best_score: float | None
     best_model: KMeansModel | None
+    jobs: dict[int, list[int]]
 
 
 # Fixed value: a score has to be above this to win.
@@ -112,33 +105,57 @@ def best_of(scores: DataFrame) -> DataFrame:
 def sweep(vectors: DataFrame, rows: int, width: int, params: Params) -> Sweep:
     """Fit and score every k from ``k_min`` to ``min(k_max, rows - 1)``.
 
-    The vectors are persisted once for all fits. Fits are independent, so some run at a time, each
-    under its own job group, as long as one fit has too few tasks to fill the cluster. On data with
-    more partitions than that they run one by one; that changes the time, not the results.
+    The vectors are persisted once for all fits, unless they are already. Fits are independent, so
+    some run at a time, each under its own job group, as long as one fit has too few tasks to fill
+    the cluster. On data with more partitions than that they run one by one; that changes the time,
+    not the results. All jobs carry the sweep's tag: when a fit fails, the others are cancelled.
     """
     k_max = min(params.k_max, rows - 1)
     if k_max < params.k_min:
         raise TooFewRowsForSweep(rows, params.k_min)
     # The largest k takes longest, so it starts first.
     ks = range(k_max, params.k_min - 1, -1)
-    spark = vectors.sparkSession
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    spark, tag = vectors.sparkSession, f"kmeans-sweep-{uuid.uuid4().hex}"
+    own = vectors.storageLevel == StorageLevel.NONE
+    if own:
+        vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     # Wrapped one by one: each wrap copies the local properties, job group among them.
     fits = [
-        inheritable_thread_target(spark)(functools.partial(_fit_and_score, vectors, params, k))
+        inheritable_thread_target(spark)(functools.partial(_fit_and_score, vectors, params, k, tag))
         for k in ks
     ]
     try:
-        with ThreadPool(_fits_at_a_time(spark, rows, width, len(ks), params)) as pool:
-            results = sorted(pool.map(lambda fit: fit(), fits, chunksize=1), key=lambda r: r[0])
+        results = _all_or_cancel(
+            spark, tag, fits, _fits_at_a_time(spark, rows, width, len(ks), params)
+        )
     finally:
-        vectors.unpersist()
-    models = {k: model for k, model, _ in results}
-    scores = spark.createDataFrame([(k, score) for k, _, score in results], "k int, score double")
+        if own:
+            vectors.unpersist()
+    results.sort(key=lambda r: r[0])
+    models = {k: model for k, model, _, _ in results}
+    jobs = {k: ids for k, _, _, ids in results}
+    scores = spark.createDataFrame([(k, score) for k, _, score, _ in results], "k int, score double")
     best = best_of(scores).first()
     if best is None:
-        return Sweep(scores, None, None, None)
-    return Sweep(scores, best.k, best.score, models[best.k])
+        return Sweep(scores, None, None, None, jobs)
+    return Sweep(scores, best.k, best.score, models[best.k], jobs)
+
+
+def _all_or_cancel(spark: SparkSession, tag: str, fits: Sequence[Callable], at_a_time: int) -> list:
+    """Every result; at the first failure the jobs under way are cancelled, no other starts, and
+    that failure is raised."""
+    with ThreadPoolExecutor(at_a_time) as pool:
+        waiting = [pool.submit(fit) for fit in fits]
+        done, _ = wait(waiting, return_when=FIRST_EXCEPTION)
+        failed = next((f.exception() for f in waiting if f in done and f.exception()), None)
+        if failed is not None:
+            for future in waiting:
+                future.cancel()
+            # A fit between two jobs starts another one, so until all have ended.
+            while wait(waiting, timeout=0.2).not_done:
+                spark.sparkContext.cancelJobsWithTag(tag)
+            raise failed
+    return [future.result() for future in waiting]
 
 
 def _fits_at_a_time(
@@ -150,17 +167,22 @@ def _fits_at_a_time(
 
 
 def _fit_and_score(
-    vectors: DataFrame, params: Params, k: int
-) -> tuple[int, KMeansModel, float]:
+    vectors: DataFrame, params: Params, k: int, tag: str
+) -> tuple[int, KMeansModel, float, list[int]]:
+    context = vectors.sparkSession.sparkContext
     # The group's name is a fixed value.
-    vectors.sparkSession.sparkContext.setJobGroup(f"kmeans-k-{k}", f"{k} clusters: model and score")
+    group = f"kmeans-k-{k}"
+    context.setJobGroup(group, f"{k} clusters: model and score")
+    context.addJobTag(tag)
+    earlier = set(context.statusTracker().getJobIdsForGroup(group))
     model = fit_kmeans(vectors, k, params.seed)
     score = silhouette(
         model.transform(vectors),
         metric_name=params.metric_name,
         distance_measure=params.distance_measure,
     )
-    return k, model, score
+    jobs = sorted(set(context.statusTracker().getJobIdsForGroup(group)) - earlier)
+    return k, model, score, jobs
 
 
 def centers_in_original_units(

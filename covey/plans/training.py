@@ -14,6 +14,7 @@ from covey.functions.documents import as_documents
 from covey.functions.flatten import name_columns
 from covey.operators.clustering import (
     PREDICTION,
+    canonical_partitions,
     centers_in_original_units,
     sweep,
     training_vectors,
@@ -27,7 +28,8 @@ from covey.sinks import collections as names
 from covey.sinks.collections import CollectionStore, stamped
 from covey.sinks.files import write_csv_parts, write_json_document, write_single_csv
 from covey.sinks.models import FittedModel, manifest_frame, save_model
-from covey.sources.shared import materialise
+from covey.sources.layout import StoredRows, store_distinct, store_rows
+from covey.sources.shared import Run, materialise, scratch
 from covey.sources.tables import read_parquet
 
 # The fields of the metrics document.
@@ -46,7 +48,8 @@ METRICS_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class TrainResult:
-    """A fitted model and its reports, all read from written tables."""
+    """A fitted model and its reports. Assignments and profiles read a table in the shared folder,
+    which ``close()`` removes; used in a ``with`` statement it closes itself."""
 
     model: FittedModel
     assignments: DataFrame
@@ -54,6 +57,16 @@ class TrainResult:
     centers: DataFrame
     metrics: DataFrame
     scores: DataFrame
+    run: Run
+
+    def close(self) -> None:
+        self.run.close()
+
+    def __enter__(self) -> TrainResult:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
 
 
 @dataclass(frozen=True)
@@ -91,15 +104,36 @@ def train_on(
     taken = {PREDICTION, ROWS, VECTOR, RAW_VECTOR, *imputed(features)}
     if clash := sorted(taken & {*features, *product_cols}):
         raise ReservedNames(clash)
+    run = Run(raw.sparkSession)
+    try:
+        with run.active():
+            return _train(raw, features, total, params, product_cols, input_path, run)
+    except BaseException:
+        run.close()
+        raise
+
+
+def _train(
+    raw: DataFrame,
+    features: list[str],
+    total: int,
+    params: Params,
+    product_cols: list[str],
+    input_path: str | None,
+    run: Run,
+) -> TrainResult:
     working = working_table(raw, features, product_cols, total, params)
-    rows = working.count()
+    rows = working.rows().count()
     if rows < params.min_rows:
         raise TooFewRows(rows, params.min_rows)
 
     preparation, vectors = training_vectors(
-        working, rows, features, params.imputer_strategy, params.relative_error
+        working, features, params.imputer_strategy, params.relative_error
     )
-    found = sweep(vectors, rows, len(features), params)
+    try:
+        found = sweep(vectors, rows, len(features), params)
+    finally:
+        vectors.unpersist()
     if found.best_model is None:
         raise ValueError("no number of clusters reached a usable score")
 
@@ -113,7 +147,7 @@ def train_on(
         params.metric_name,
         input_path,
     )
-    assigned = found.best_model.transform(preparation.transform(working))
+    assigned = found.best_model.transform(preparation.transform(working.rows()))
     # Written once: the profiles, the files and the collections all read it from there.
     assignments = materialise(
         assigned.select(
@@ -121,6 +155,7 @@ def train_on(
         ),
         "assignments",
     )
+    working.drop()
     spark = raw.sparkSession
     metrics = spark.createDataFrame(
         [
@@ -145,24 +180,34 @@ def train_on(
         ),
         metrics=metrics,
         scores=found.scores,
+        run=run,
     )
 
 
 def working_table(
     raw: DataFrame, features: list[str], product_cols: list[str], total: int, params: Params
-) -> DataFrame:
-    """Distinct aligned rows, at most ``target_n`` of them, as a written table."""
+) -> StoredRows:
+    """Distinct aligned rows, at most ``target_n`` of them, stored in their canonical layout.
+
+    Without a cap that is one shuffle, with one a shuffle of the rows that may be drawn, and one of
+    those that are."""
     aligned = align(
         raw, features, product_cols, params.name_column, params.nonfinite_as_null
     )
-    return capped_sample(
-        aligned,
-        total if params.target_n is None else params.target_n,
-        params.seed,
-        total_rows=total,
-        distinct=True,
-        method=params.sample_method,
-    )
+    if params.target_n is None or total <= params.target_n:
+        return store_distinct(aligned, canonical_partitions(total, len(features)))
+    # The drawn rows' tables are of no more use once the rows are stored.
+    with scratch(raw.sparkSession) as sampling:
+        drawn = capped_sample(
+            aligned,
+            params.target_n,
+            params.seed,
+            total_rows=total,
+            distinct=True,
+            method=params.sample_method,
+        )
+        with sampling.outside():
+            return store_rows(drawn, canonical_partitions(drawn.count(), len(features)))
 
 
 def run_training(

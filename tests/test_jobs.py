@@ -2,6 +2,7 @@
 
 import json
 import math
+import time
 
 import numpy as np
 import pytest
@@ -10,10 +11,14 @@ from pyspark.sql import functions as F
 
 from catalog import nearest
 from covey import Params, TrainingOutputs, errors, run_scoring, run_training, score, train
+from covey.functions.flatten import name_columns
 from covey.operators import clustering, preparation, profiles
+from covey.operators.features import select_features
+from covey.plans import training
 from covey.plans.wordcount import word_count_job
 from covey.sinks.collections import CollectionStore
 from covey.sinks.models import load_model, save_model
+from covey.sources import layout, shared
 
 PARAMS = Params(k_max=4)
 
@@ -306,3 +311,106 @@ def test_partitions_grow_with_the_data_only_so_far():
     assert clustering.canonical_partitions(1_000, 4) == 1
     assert clustering.canonical_partitions(600_000, 8) == 24
     assert clustering.canonical_partitions(10**11, 100) == 625_000
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_one_shuffle_from_working_rows_to_the_fit(spark, products_path, monkeypatch):
+    """The duplicates' shuffle makes the layout; what follows reads the buckets as they are."""
+    products, plans = spark.read.parquet(products_path), []
+    stored = layout._stored
+
+    def watched(df, partitions):
+        with layout._settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+            plans.append((_shuffles(df), partitions))
+        return stored(df, partitions)
+
+    monkeypatch.setattr(layout, "_stored", watched)
+    features, total = select_features(products, PARAMS)
+    names = list(name_columns(products.schema, PARAMS.name_column))
+    working = training.working_table(products, features, names, total, PARAMS)
+    assert plans == [(1, clustering.canonical_partitions(total, len(features)))]
+    assert len(spark.read.parquet(working.path).inputFiles()) == plans[0][1]
+    with working.in_layout() as rows:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+    _, vectors = clustering.training_vectors(working, features, "median", 0.001)
+    assert _shuffles(vectors) == 0
+    assert vectors.rdd.getNumPartitions() == plans[0][1]
+    vectors.unpersist()
+    working.drop()
+
+
+def test_layout_is_the_same_whatever_the_input_layout(spark):
+    rows = [(f"p{i}", float(i % 50)) for i in range(2_000)] + [(None, math.nan), (None, -0.0), (None, 0.0), ("", None)] * 40
+    df = spark.createDataFrame(rows, "`a.b` STRING, `x``y` DOUBLE")
+
+    def parts(frame):
+        stored = layout.store_distinct(frame, 7)
+        with stored.in_layout() as read:
+            assert read.columns == df.columns
+            got = read.rdd.mapPartitions(lambda part: [[repr(tuple(r)) for r in part]]).collect()
+        stored.drop()
+        return got
+
+    one = parts(df)
+    assert len(one) == 7 and sum(map(len, one)) == 2_003
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with layout._settings(spark, {"spark.sql.shuffle.partitions": "3"}):
+        assert parts(df.repartition(11, "`a.b`")) == one
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert parts(df.orderBy("`x``y`")) == one
+    # Dealt by all columns already, so that removing duplicates needs no shuffle.
+    assert parts(df.repartition(5, "`a.b`", "`x``y`")) == one
+
+
+def test_a_run_leaves_nothing_behind(spark, products, tmp_path, monkeypatch):
+    folder = tmp_path / "covey"
+    monkeypatch.setattr(shared, "shared_dir", lambda _: str(tmp_path))
+    for params in (PARAMS, Params(k_max=3, target_n=100)):
+        with train(products, params) as trained:
+            assert trained.assignments.count() == (params.target_n or 600)
+            # Of all that was written only the assignments are still there.
+            assert [p.name.split("-")[0] for p in folder.iterdir()] == ["assignments"]
+        assert list(folder.iterdir()) == []
+    with pytest.raises(errors.GuardError):
+        train(products.limit(5), PARAMS)
+    with shared.scratch(spark):
+        shared.materialise(spark.range(3), "mine")
+        assert len(list(folder.iterdir())) == 1
+    assert list(folder.iterdir()) == []
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("covey_rows")]
+
+
+def test_a_failing_fit_cancels_the_others(spark, monkeypatch):
+    vectors = spark.createDataFrame([(Vectors.dense([float(i % 40)]),) for i in range(400)], ["features"])
+    slow, broken = 4, 3
+    ended = []
+
+    def fit(df, k, seed):
+        if k == slow:
+            sleeping = F.udf(lambda x: time.sleep(60) or 1, "int")
+            try:
+                spark.range(4).select(F.sum(sleeping("id"))).collect()
+            except Exception as error:
+                ended.append(str(error))
+                raise
+        if k == broken:
+            time.sleep(3)
+            raise ValueError("broken fit")
+
+    monkeypatch.setattr(clustering, "fit_kmeans", fit)
+    started = time.monotonic()
+    with pytest.raises(ValueError, match="broken fit"):
+        clustering.sweep(vectors, 400, 1, Params(k_min=3, k_max=4))
+    assert time.monotonic() - started < 40
+    assert len(ended) == 1
+
+
+def test_each_k_has_jobs_of_its_own(spark):
+    vectors = spark.createDataFrame([(Vectors.dense([float(i % 40)]),) for i in range(400)], ["features"])
+    jobs = clustering.sweep(vectors, 400, 1, Params(k_max=4)).jobs
+    assert sorted(jobs) == [2, 3, 4] and all(jobs.values())
+    assert len({j for ids in jobs.values() for j in ids}) == sum(map(len, jobs.values()))
