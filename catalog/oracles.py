@@ -267,6 +267,16 @@ ORACLES: dict[str, str] = {
         "SELECT *, (SELECT count(*) FROM part) AS stored_rows FROM part"
     ),
     "collection_read_projected": "SELECT p_partkey, p_retailprice, p_name FROM part",
+    "external_replace": "SELECT *, count(*) OVER () AS stored_rows FROM part",
+    "external_read_filtered": (
+        "SELECT l_orderkey, l_linenumber, l_returnflag, l_tax FROM lineitem "
+        "WHERE l_linenumber >= 3 AND l_returnflag IN ('A', 'N') AND l_tax > 0.02"
+    ),
+    "collection_of_differing_fields": (
+        "SELECT c_custkey AS id, c_name AS name, c_mktsegment, CAST(NULL AS DOUBLE) AS s_acctbal FROM customer "
+        "UNION ALL SELECT s_suppkey, s_name, NULL, s_acctbal FROM supplier "
+        "UNION ALL SELECT n_nationkey, n_name, NULL, NULL FROM nation"
+    ),
     "append_audit": _union(
         [
             f"SELECT '{t}' AS collection, count(*) AS rows FROM {t}"

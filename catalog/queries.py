@@ -31,7 +31,7 @@ from covey.plans.training import TrainingOutputs, run_training, train
 from covey.sinks.collections import IMPORTS, METRICS, CollectionStore, stamped
 from covey.sinks.files import write_csv_parts
 from covey.sinks.models import load_model, save_model
-from covey.sources import tables
+from covey.sources import documents, tables
 from covey.sources.layout import StoredRows, store_distinct
 from covey.sources.shared import fresh_path, materialise
 
@@ -101,6 +101,37 @@ def collection_read_projected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("stock", ["p_partkey", "p_retailprice"], optional=["p_name", "product_name"])
 
 
+def _external_store(spark: SparkSession) -> CollectionStore:
+    """A store that is reached by the data source's protocol only."""
+    documents.register(spark)
+    options = {"client": "covey.sinks.folder_store:FolderStore", "uri": fresh_path(spark, "external")}
+    return CollectionStore(spark, None, documents.FORMAT, options)
+
+
+def external_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _external_store(spark)
+    store.replace("stock", table(spark, sf_dir, "supplier"))
+    rows = store.replace("stock", table(spark, sf_dir, "part"))
+    return store.read("stock").withColumn("stored_rows", F.lit(rows).cast("long"))
+
+
+def external_read_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chosen columns and conditions: by number, text and null; one that Spark judges itself."""
+    store = _external_store(spark)
+    store.replace("lines", table(spark, sf_dir, "lineitem"))
+    chosen = store.read("lines", ["l_orderkey", "l_linenumber", "l_returnflag", "l_tax"], optional=["none"])
+    return chosen.filter("l_linenumber >= 3 AND l_returnflag IN ('A', 'N') AND l_tax > 0.02 AND l_orderkey IS NOT NULL")
+
+
+def collection_of_differing_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of different fields appended to one collection: each row has null in the others' fields."""
+    store = _store(spark)
+    store.append("parties", table(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "c_name AS name", "c_mktsegment"))
+    store.append("parties", table(spark, sf_dir, "supplier").selectExpr("s_acctbal", "s_name AS name", "s_suppkey AS id"))
+    store.append("parties", table(spark, sf_dir, "nation").selectExpr("n_nationkey AS id", "n_name AS name"))
+    return store.read("parties")
+
+
 def append_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark)
     for name in ("part", "supplier", "customer"):
@@ -744,6 +775,9 @@ QUERIES = [
     csv_roundtrip,
     collection_replace,
     collection_read_projected,
+    external_replace,
+    external_read_filtered,
+    collection_of_differing_fields,
     append_audit,
     normalise_documents,
     normalise_events,

@@ -48,3 +48,8 @@ class EmptyCollection(GuardError):
 class MissingModel(FileNotFoundError):
     def __init__(self, path: str) -> None:
         super().__init__(f"no saved model under {path}")
+
+
+class SchemaConflict(GuardError):
+    def __init__(self, name: str, stored: str, given: str) -> None:
+        super().__init__(f"field {name!r} is {stored} in the collection and {given} in the new rows")

@@ -54,20 +54,20 @@ def write_json_document(df: DataFrame, path: str) -> None:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, target = _filesystem(spark, path)
+    files, target = filesystem(spark, path)
     return files.exists(target)
 
 
-def directories(spark: SparkSession, path: str) -> list[str]:
-    """Names of the directories in ``path``; none if there is no such path."""
-    files, target = _filesystem(spark, path)
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in ``path``; none if there is no such path."""
+    files, target = filesystem(spark, path)
     if not files.exists(target):
         return []
-    return [s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()]
+    return [s.getPath().getName() for s in files.listStatus(target)]
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    files, target = _filesystem(spark, path)
+    files, target = filesystem(spark, path)
     files.delete(target, True)
 
 
@@ -78,7 +78,7 @@ def _staging(path: str) -> str:
 
 
 def _publish_single_part(spark: SparkSession, staging: str, path: str) -> None:
-    files, target = _filesystem(spark, path)
+    files, target = filesystem(spark, path)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     part = next(
         status.getPath()
@@ -91,6 +91,6 @@ def _publish_single_part(spark: SparkSession, staging: str, path: str) -> None:
     files.delete(hadoop_path(staging), True)
 
 
-def _filesystem(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
