@@ -302,6 +302,25 @@ ORACLES: dict[str, str] = {
         ["doc_id", "n_chars", "quality", "toxic"],
     ),
     "feature_completeness_gaps": _completeness(derived_sql(GAPS), GAP_NUMBERS),
+    "completeness_from_footers": (
+        f"WITH t AS ({derived_sql(GAPS | {'flag': "nullif(l_returnflag, 'A')"})}) "
+    )
+    + _union(
+        [
+            f"SELECT '{c}' AS column_name, count(*) AS n, count({c}) AS non_null, "
+            f"count({c}) / count(*) AS ratio FROM t"
+            for c in (*GAPS, "flag")
+        ]
+    ),
+    "wide_profile": f"WITH t AS ({derived_sql(GAPS)}), p AS ("
+    + _union(
+        [
+            f"SELECT '{c}' AS c, count(*) AS n, count({c}) AS non_null, "
+            f"count({c}) / count(*) AS ratio, round(stddev_samp({c}), 6) AS std FROM t"
+            for c in ("quantity", "price", "discount", "fixed")
+        ]
+    )
+    + ") SELECT c || '_' || i AS column_name, n, non_null, ratio, std FROM p, range(100) r(i)",
     "feature_stddev": f"WITH t AS ({derived_sql(GAPS)}) "
     + _union(
         [

@@ -31,7 +31,7 @@ from covey.plans.training import TrainingOutputs, run_training, train
 from covey.sinks.collections import IMPORTS, METRICS, CollectionStore, stamped
 from covey.sinks.files import write_csv_parts
 from covey.sinks.models import load_model, save_model
-from covey.sources import documents, tables
+from covey.sources import documents, footers, tables
 from covey.sources.layout import StoredRows, store_distinct
 from covey.sources.shared import fresh_path, materialise
 
@@ -51,11 +51,9 @@ def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = [
-        table(spark, sf_dir, t).agg(F.lit(t).alias("table_name"), F.count("*").alias("n"))
-        for t in TABLES
-    ]
-    return reduce(DataFrame.union, counts)
+    """From the footers of the files."""
+    counts = [(t, footers.counts(spark, f"{sf_dir}/{t}.parquet").rows) for t in TABLES]
+    return spark.createDataFrame(counts, "table_name string, n long")
 
 
 def text_scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,6 +199,28 @@ def feature_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _completeness(labelled)
 
 
+def completeness_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every column of lines with gaps, texts included."""
+    path = fresh_path(spark, "gaps")
+    derived(table(spark, sf_dir, "lineitem"), GAPS | {"flag": "nullif(l_returnflag, 'A')"}).write.parquet(path)
+    columns = spark.read.parquet(path).columns
+    found = footers.counts(spark, path, columns)
+    return spark.createDataFrame(
+        [(c, found.rows, found.non_null[c], found.non_null[c] / found.rows) for c in columns],
+        "column_name string, n long, non_null long, ratio double",
+    )
+
+
+def wide_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """400 columns made of four, profiled by position."""
+    gaps = derived(table(spark, sf_dir, "lineitem"), GAPS)
+    names = ["quantity", "price", "discount", "fixed"]
+    wide = gaps.select(*[(F.col(c) + F.lit(i)).alias(f"{c}_{i}") for i in range(100) for c in names])
+    return features.column_profile(wide, wide.columns).select(
+        "column_name", "n", "non_null", "ratio", F.round("std", 6).alias("std")
+    )
+
+
 def feature_completeness_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _completeness(derived(table(spark, sf_dir, "lineitem"), GAPS))
 
@@ -783,6 +803,8 @@ QUERIES = [
     normalise_events,
     numeric_columns,
     feature_completeness,
+    completeness_from_footers,
+    wide_profile,
     feature_completeness_gaps,
     feature_stddev,
     feature_variance_filter,

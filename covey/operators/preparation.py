@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from covey.functions.columns import column
 from covey.operators.medians import exact_lower_medians
+from covey.operators.modes import proven_modes
 
 # The names of the derived columns.
 IMPUTED_SUFFIX = "_imp"
@@ -67,24 +68,41 @@ def fit_imputer(
 
     A median within ``relative_error`` comes from mergeable sketches. Spark's own exact setting
     would gather whole columns, so ``relative_error=0`` takes exact medians by another route and
-    fits the same stage on the one row of them.
+    fits the same stage on the one row of them. Modes are proved from a sketch where a value is
+    frequent enough; only the other columns are shuffled by value.
     """
     df = with_stage_columns(df, columns)
     names, outputs = stage_columns(columns), imputed(columns)
-    if strategy != "median" or relative_error > 0:
-        return Imputer(
-            strategy=strategy,
-            relativeError=relative_error,
-            inputCols=names,
-            outputCols=outputs,
-        ).fit(df)
-    medians = exact_lower_medians(df, names)
+    if strategy == "median" and relative_error == 0:
+        return _known(df, names, outputs, exact_lower_medians(df, names), strategy)
+    if strategy == "mode":
+        modes = proven_modes(df, names)
+        if rest := [c for c in names if c not in modes]:
+            counted = Imputer(strategy=strategy, inputCols=rest, outputCols=imputed(rest)).fit(df)
+            modes |= counted.surrogateDF.first().asDict()
+        return _known(df, names, outputs, modes, strategy)
+    return Imputer(
+        strategy=strategy,
+        relativeError=relative_error,
+        inputCols=names,
+        outputCols=outputs,
+    ).fit(df)
+
+
+def _known(
+    df: DataFrame,
+    names: list[str],
+    outputs: list[str],
+    surrogates: dict[str, float | None],
+    strategy: str,
+) -> ImputerModel:
+    """The stage's model for surrogates found otherwise: fitted on the one row of them."""
     schema = T.StructType([T.StructField(c, T.DoubleType()) for c in names])
-    row = [math.nan if medians[c] is None else medians[c] for c in names]
+    row = [math.nan if surrogates[c] is None else float(surrogates[c]) for c in names]
     model = Imputer(strategy="mean", inputCols=names, outputCols=outputs).fit(
         df.sparkSession.createDataFrame([row], schema)
     )
-    model.set(model.strategy, "median")
+    model.set(model.strategy, strategy)
     model.set(model.relativeError, 0.0)
     return model
 

@@ -51,14 +51,11 @@ def run_scoring(
     """Score a Parquet table into CSV and return the run's summary.
 
     Predictions grow with the input, so they are written as parts in parallel;
-    ``single_file=True`` asks for one file where they are known to be few. The rows are computed
-    once: clusters are counted by the tasks that write them.
+    ``single_file=True`` joins the parts into one file. The rows are computed once: clusters are
+    counted by the tasks that write them.
     """
     model = load_model(spark, model_root)
     predictions = score(read_parquet(spark, input_path), model, deduplicate, params)
-    if single_file:
-        predictions = predictions.repartition(1)
-
     clusters = range(len(model.kmeans.clusterCenters()))
     seen = Observation("clusters")
     observed = predictions.observe(
@@ -67,7 +64,7 @@ def run_scoring(
         *[F.count_if(F.col(PREDICTION) == i).alias(str(i)) for i in clusters],
     )
     if single_file:
-        write_single_csv(observed, output_path, gathered=True)
+        write_single_csv(observed, output_path)
     else:
         write_csv_parts(observed, output_path)
     counted = seen.get

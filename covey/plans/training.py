@@ -19,7 +19,7 @@ from covey.operators.clustering import (
     sweep,
     training_vectors,
 )
-from covey.operators.features import align, select_features
+from covey.operators.features import align, select_features, select_stored_features
 from covey.operators.preparation import RAW_VECTOR, VECTOR, imputed
 from covey.operators.profiles import ROWS, cluster_profiles
 from covey.operators.sampling import capped_sample
@@ -72,8 +72,8 @@ class TrainResult:
 @dataclass(frozen=True)
 class TrainingOutputs:
     """Where a training run leaves its results; what is ``None`` is not written. The assignments
-    are a directory of parts unless ``clusters_single_file`` asks for one file, which one task
-    writes: for results known to be small."""
+    are a directory of parts unless ``clusters_single_file`` asks for one file, which is joined from
+    the parts."""
 
     model_root: str | None = None
     clusters_csv: str | None = None
@@ -220,7 +220,7 @@ def run_training(
     """The whole job: read, optionally keep the input as a collection and train from there,
     write files, model and result collections."""
     raw = read_parquet(spark, input_path)
-    features, total = select_features(raw, params)
+    features, total = select_stored_features(spark, input_path, params)
     product_cols = list(name_columns(raw.schema, params.name_column))
     source = raw
     if store is not None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,15 +32,59 @@ def _unlike(field: T.StructField, mark: str) -> Column:
     return value.alias(field.name)
 
 
-def write_single_csv(df: DataFrame, path: str, gathered: bool = False) -> None:
-    """One CSV file with a header, replaced if present. For results of bounded size only:
-    profiles, centres, and assignments of a capped sample. ``gathered`` says that ``df`` is one
-    partition already."""
+def write_single_csv(df: DataFrame, path: str) -> None:
+    """One CSV file with a header, replaced if present.
+
+    The parts are written in parallel without headers, and then joined in the order of the
+    partitions behind one header line: by the file system itself where it can join files, else by
+    copying their bytes, which no task and no parser sees again.
+    """
     staging = _staging(path)
-    # repartition, not coalesce: what computes df keeps its own parallelism.
-    one = df if gathered else df.repartition(1)
-    one.write.option("header", True).csv(staging)
-    _publish_single_part(df.sparkSession, staging, path)
+    spark = df.sparkSession
+    names = spark.createDataFrame([df.columns], T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(df.columns))]))
+    names.coalesce(1).write.csv(f"{staging}/head")
+    df.write.csv(f"{staging}/rows")
+    files, target = filesystem(spark, path)
+    parts = [p for folder in ("head", "rows") for p in _part_paths(spark, f"{staging}/{folder}")]
+    whole = _joined(spark, files, parts)
+    files.delete(target, False)
+    if not files.rename(whole, target):
+        raise OSError(f"could not publish {whole} as {path}")
+    delete(spark, staging)
+
+
+def _part_paths(spark: SparkSession, folder: str) -> list:
+    """The Hadoop paths of a written folder's parts that hold anything, in order."""
+    files, target = filesystem(spark, folder)
+    found = [s for s in files.listStatus(target) if s.getPath().getName().startswith("part-") and s.getLen()]
+    return sorted((s.getPath() for s in found), key=lambda p: p.getName())
+
+
+def _joined(spark: SparkSession, files, parts: list):
+    """All parts as one file, in the place of the first."""
+    first, rest = parts[0], parts[1:]
+    if not rest:
+        return first
+    paths = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(rest))
+    for i, part in enumerate(rest):
+        paths[i] = part
+    try:
+        files.concat(first, paths)
+        return first
+    except UnsupportedOperationException:
+        pass
+    whole = spark._jvm.org.apache.hadoop.fs.Path(first.getParent(), "joined")
+    out = files.create(whole, True)
+    try:
+        for part in parts:
+            stream = files.open(part)
+            try:
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+            finally:
+                stream.close()
+    finally:
+        out.close()
+    return whole
 
 
 def write_json_document(df: DataFrame, path: str) -> None:

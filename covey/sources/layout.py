@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covey.functions.columns import column
-from covey.sources.shared import active_run, fresh_path, remove
+from covey.sources.shared import active_run, fresh_path, remove, settings
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,7 @@ class StoredRows:
         where a bucketing column is not read. Frames persisted from them keep the layout."""
         # Always true, and reads every column.
         every = F.xxhash64(*[column(c) for c in self.columns]) >= F.lit(-(1 << 63))
-        with _settings(self.spark, {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}):
+        with settings(self.spark, {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}):
             yield self.rows().where(every)
 
     def drop(self) -> None:
@@ -68,12 +68,12 @@ def _stored(df: DataFrame, partitions: int) -> StoredRows:
     stored = [f"c{i}" for i in range(len(columns))]
     name, path = f"covey_rows_{uuid.uuid4().hex}", fresh_path(spark, "rows")
     # The shuffle has to make exactly the buckets, so its number is set and left alone.
-    settings = {
+    exact = {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "false",
         "spark.sql.requireAllClusterKeysForDistribution": "true",
     }
-    with _settings(spark, settings):
+    with settings(spark, exact):
         (
             df.toDF(*stored)
             .write.format("parquet")
@@ -103,18 +103,3 @@ def _data_files(spark: SparkSession, path: str) -> list[str]:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     listed = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
     return [n for n in (s.getPath().getName() for s in listed) if n.startswith("part-")]
-
-
-@contextlib.contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key, None) for key in values}
-    for key, value in values.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)

@@ -101,6 +101,22 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold while the block lasts."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def active_run() -> Run | None:
     return _RUN.get()
 

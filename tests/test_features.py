@@ -1,12 +1,15 @@
 import math
 from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from covey import Params, errors
 from covey.functions.flatten import name_columns
+from covey.operators import features, modes, preparation
 from covey.operators.features import (
     align,
     column_profile,
@@ -14,6 +17,7 @@ from covey.operators.features import (
     numeric_columns,
     select_features,
 )
+from covey.sources import footers
 
 ROWS = 100
 
@@ -160,3 +164,107 @@ def test_flatten_struct_and_scalar(spark):
     assert tuple(out.first()) == ("1", "x")
     scalar = spark.createDataFrame([(7,)], "product_name int")
     assert scalar.select(*name_columns(scalar.schema).values()).first()[0] == "7"
+
+
+def test_wide_tables_are_profiled_by_position(spark):
+    """5,000 columns: nulls, NaN, infinities, constants, empty ones; numbers far from zero."""
+    pick = np.random.default_rng(4)
+    rows, width = 60, 5_000
+    values = pick.normal(1e6, 1, (rows, width))
+    values[:, 7] = 3.5
+    values[5, 8], values[6, 9] = np.nan, np.inf
+    missing = pick.random((rows, width)) < 0.2
+    missing[:, 10] = True
+    missing[:, 11] = np.arange(rows) > 0
+    table = pa.table({f"c{i}": pa.array(values[:, i], mask=missing[:, i]) for i in range(width)})
+    df = spark.createDataFrame(table).repartition(3)
+    profile = {r.column_name: r for r in features.column_profile(df, df.columns).collect()}
+    assert len(profile) == width and [profile[f"c{i}"].position for i in (0, 4_999)] == [0, 4_999]
+    for i in range(0, width, 1 if width < 100 else 37):
+        filled = values[~missing[:, i], i]
+        got = profile[f"c{i}"]
+        assert (got.n, got.non_null, got.ratio) == (rows, len(filled), len(filled) / rows)
+        assert abs(got.std / filled.std(ddof=1) - 1) < 1e-9
+    assert profile["c7"].std == 0
+    assert math.isnan(profile["c8"].std) and math.isnan(profile["c9"].std)
+    assert profile["c10"].std is None and profile["c10"].non_null == 0
+    assert profile["c11"].std is None and profile["c11"].non_null == 1
+
+
+def test_wide_and_narrow_profiles_agree(spark, monkeypatch):
+    df = spark.range(0, 500, 1, 4).selectExpr(
+        "id", "CAST(id % 7 AS SMALLINT) AS s", "IF(id % 3 = 0, NULL, CAST(id AS DECIMAL(9, 2)) / 3) AS `d.e`", "CAST(id AS FLOAT) AS f"
+    )
+    narrow = features.column_profile(df, df.columns).collect()
+    monkeypatch.setattr(features, "_COLUMNS_AT_ONCE", 1)
+    wide = sorted(features.column_profile(df, df.columns).collect())
+    assert [tuple(r)[:5] for r in narrow] == [tuple(r)[:5] for r in wide]
+    assert all(abs(a.std - b.std) < 1e-9 * a.std for a, b in zip(narrow, wide))
+    empty = features.column_profile(df.limit(0), df.columns).collect()
+    assert {(r.n, r.non_null, r.ratio, r.std) for r in empty} == {(0, 0, None, None)}
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(0, 1000, 1, 3).selectExpr(
+        "id", "IF(id % 4 = 0, NULL, id) AS gaps", "IF(id < 10, 'x', NULL) AS text", "IF(id % 2 = 0, array(id), NULL) AS list", "id AS `a.b`"
+    )
+    df.write.parquet(path)
+    found = footers.counts(spark, path, df.columns)
+    assert found.rows == 1000
+    assert found.non_null == {"id": 1000, "gaps": 750, "text": 10, "list": 500, "a.b": 1000}
+    with footers.footers_only(spark, path) as read:
+        plan = read.agg(F.count("*"), F.count("gaps"), F.count("text"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(gaps), COUNT(text)]" in plan
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+
+
+def test_stored_features_are_the_same(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(200).selectExpr(
+        "id", "CAST(id AS STRING) AS text", "IF(id % 10 = 0, NULL, id * 1.5D) AS kept", "IF(id % 9 = 0, NULL, id) AS dropped",
+        "7 AS constant", "IF(id = 3, CAST('NaN' AS DOUBLE), id) AS nan", "CAST(id % 100 AS TINYINT) AS tiny",
+    )
+    df.write.parquet(path)
+    got = features.select_stored_features(spark, path, Params())
+    assert got == features.select_features(df, Params()) == (["id", "kept"], 200)
+    for rows, error in ((df.limit(0), errors.EmptyInput), (df.select("text"), errors.NoNumericColumns), (df.select("dropped"), errors.NoCompleteColumns), (df.select("constant"), errors.NoVaryingColumns)):
+        rows.write.mode("overwrite").parquet(path)
+        with pytest.raises(error):
+            features.select_stored_features(spark, path, Params())
+
+
+@pytest.mark.parametrize("at_once", [16, 1])
+def test_equal_numbers_have_no_deviation(spark, monkeypatch, at_once):
+    """Means of parts are rounded, so deviations merged from them may come out just above 0."""
+    monkeypatch.setattr(features, "_COLUMNS_AT_ONCE", at_once)
+    df = spark.range(0, 997, 1, 13).selectExpr("7 AS a", "0.1D AS b", "1e300D AS c", "1D / 3 AS d")
+    assert [r.std for r in features.column_profile(df, ["a", "b", "d"]).collect()] == [0.0] * 3
+    with pytest.raises(errors.NoVaryingColumns):
+        features.select_features(df, Params())
+
+
+def test_modes_are_proved_or_counted(spark, monkeypatch):
+    """Heavy values from the sketch; ties, near-unique and one-valued columns."""
+    asked = []
+    imputer = preparation.Imputer
+
+    def watched(**kwargs):
+        asked.append(kwargs.get("inputCols"))
+        return imputer(**kwargs)
+
+    monkeypatch.setattr(preparation, "Imputer", watched)
+    df = spark.range(0, 6000, 1, 4).selectExpr(
+        "IF(id % 3 = 0, 5.5D, id) AS heavy",
+        "CAST(id % 20 AS DOUBLE) AS ties",
+        "IF(id >= 5998, -4.0D, id + 0.5D) AS unique",
+        "CASE WHEN id % 2 = 0 THEN CAST('NaN' AS DOUBLE) WHEN id % 5 = 0 THEN NULL WHEN id % 3 = 0 THEN -0.0D WHEN id % 7 = 0 THEN 0.0D ELSE id END AS odd",
+        "2.0D AS same",
+    )
+    got = preparation.fit_imputer(df, df.columns, "mode").surrogateDF.first().asDict()
+    want = imputer(strategy="mode", inputCols=df.columns, outputCols=[c + "_o" for c in df.columns]).fit(df).surrogateDF.first().asDict()
+    assert {k: repr(v + 0.0) for k, v in got.items()} == {k: repr(v + 0.0) for k, v in want.items()}
+    # The first call is for the columns without a heavy value; the other holds the known ones.
+    assert asked[0] == ["ties", "unique"]
+    assert modes.proven_modes(df, ["heavy", "same"]) == {"heavy": 5.5, "same": 2.0}
+    assert modes.proven_modes(df.selectExpr("CAST(NULL AS DOUBLE) AS empty"), ["empty"]) == {}

@@ -323,7 +323,7 @@ def test_one_shuffle_from_working_rows_to_the_fit(spark, products_path, monkeypa
     stored = layout._stored
 
     def watched(df, partitions):
-        with layout._settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        with shared.settings(spark, {"spark.sql.adaptive.enabled": "false"}):
             plans.append((_shuffles(df), partitions))
         return stored(df, partitions)
 
@@ -358,7 +358,7 @@ def test_layout_is_the_same_whatever_the_input_layout(spark):
     one = parts(df)
     assert len(one) == 7 and sum(map(len, one)) == 2_003
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    with layout._settings(spark, {"spark.sql.shuffle.partitions": "3"}):
+    with shared.settings(spark, {"spark.sql.shuffle.partitions": "3"}):
         assert parts(df.repartition(11, "`a.b`")) == one
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert parts(df.orderBy("`x``y`")) == one

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from covey import errors
 from covey.functions.documents import as_documents
@@ -129,6 +130,28 @@ def test_single_csv_is_one_file_and_replaced(spark, tmp_path):
     assert (tmp_path / "out" / "mine.txt").read_text() == "kept"
 
 
+def test_single_csv_joins_its_parts_in_order(spark, tmp_path):
+    """Parts written in parallel, empty ones among them, behind one header; quoted as in parts."""
+    df = spark.range(0, 100, 1, 9).filter("id < 20 OR id > 60").selectExpr(
+        "id AS `a,\"b`", "IF(id % 2 = 0, 'x,y\nz', NULL) AS text", "'é' AS e"
+    )
+    path = tmp_path / "out.csv"
+    write_single_csv(df, str(path))
+    back = spark.read.csv(str(path), header=True, multiLine=True, escape='"')
+    assert path.read_text(encoding="utf-8").splitlines()[0].endswith(",text,e")
+    assert [int(r[0]) for r in back.collect()] == [r[0] for r in df.collect()]
+    write_single_csv(df.limit(0), str(path))
+    assert len(path.read_text(encoding="utf-8").splitlines()) == 1
+    assert [p.name for p in tmp_path.iterdir() if p.name.startswith("_")] == []
+
+
+def test_single_csv_gathers_no_rows(spark, tmp_path):
+    rows = spark.range(0, 50, 1, 6)
+    write_single_csv(rows.withColumn("part", F.spark_partition_id()), str(tmp_path / "o.csv"))
+    tasks = {r.part for r in spark.read.csv(str(tmp_path / "o.csv"), header=True).select("part").collect()}
+    assert len(tasks) == 6
+
+
 def test_json_document(spark, tmp_path):
     path = tmp_path / "doc.json"
     df = spark.createDataFrame([("é", None, [1, 2])], "a string, b int, c array<int>")
