@@ -155,5 +155,5 @@ def matched(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, in
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` into which no item leaks. A row without doc_id stays only if no row
     without one has a leak."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    bad = leaks(docs, benchmark).select("doc_id").distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")

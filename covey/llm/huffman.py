@@ -15,6 +15,7 @@ blocks' offsets. Blocks can be decoded on their own, and from any checkpoint on.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import struct
 import zlib
@@ -41,6 +42,28 @@ _HEAD, _TAIL = b"COVH1\0\0\0", b"COVH1END"
 _STRETCHES_KEPT = 1 << 19
 _WORDS_KEPT = 1 << 20
 
+# The rules of a tokenizer file under which words can be encoded on their own.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
 
 # --- code ----------------------------------------------------------------------------------
 
@@ -156,18 +179,34 @@ class WordTokenizer:
     What a new stretch consists of is looked up too: closing ASCII punctuation after a letter or
     digit is a piece of its own. The library gets many words in one text, which costs it less than
     many texts; as a word of letters is one piece, its number of the piece tells them apart. Ids are
-    kept as bytes, 32 bits wide, so a text's ids are one join of its stretches'."""
+    kept as bytes, 32 bits wide, so a text's ids are one join of its stretches'.
+
+    That rests on the file's rules. Texts with the string of a special token, which the library
+    looks for before any rule, are given to it whole, as are all texts where the rules differ."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tokenizers
 
         self.library = tokenizers.Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        self.by_words = rules["normalizer"] == _NORMALIZER and rules["pre_tokenizer"] == _SPLITTER
+        self.specials = [token["content"] for token in rules["added_tokens"]]
         self.seen: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        whole = [not self.by_words or any(s in t for s in self.specials) for t in texts]
+        self.library.encode_special_tokens = False
+        given = self.library.encode_batch_fast([t for t, w in zip(texts, whole, strict=True) if w], add_special_tokens=False)
+        # A stretch in lower case may read as a special token that its text doesn't hold.
+        self.library.encode_special_tokens = True
+        rest = iter(self._encode_by_words([t for t, w in zip(texts, whole, strict=True) if not w]))
+        known = (np.array(g.ids, np.uint32) for g in given)
+        return [next(known) if w else next(rest) for w in whole]
+
+    def _encode_by_words(self, texts: list[str]) -> list[np.ndarray]:
         parts = [t.split(" ") for t in texts]
         new = set().union(*parts) - self.seen.keys()
         if len(self.seen) + len(new) > _STRETCHES_KEPT:

@@ -214,8 +214,8 @@ def test_code_lengths_are_the_best():
 def test_id_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(huffman, "BLOCK", 64)
     library = tokenizers.Tokenizer.from_file(queries.WORD_BPE)
-    library.encode_special_tokens = True
-    rows = [(None, "null id"), (5, None), (7, ""), (-3, "Héllo  Wörld's\n\tand more <|endoftext|> é"), (9, "word " * 400), (11, "x"), (11, "x"), (2, " lead and trail ")]
+    specials = ["a <|endoftext|> b", "A<|startoftext|>", "<|ENDOFTEXT|> <|endoftext |>", "<|endoftext|>" * 3 + " It's"]
+    rows = [(20 + i, t) for i, t in enumerate(specials)] + [(None, "null id"), (5, None), (7, ""), (-3, "Héllo  Wörld's\n\tand more <|endoftext|> é"), (9, "word " * 400), (11, "x"), (11, "x"), (2, " lead and trail ")]
     want, start = [], 0
     for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
@@ -228,9 +228,53 @@ def test_id_files(spark, tmp_path, monkeypatch):
     assert huffman.read(none).count() == 0
 
 
+@pytest.mark.parametrize("known", [True, False])
+def test_tokenizer_as_the_library(monkeypatch, known):
+    """With the rules it knows, and with others, under which whole texts go to the library."""
+    if not known:
+        monkeypatch.setattr(huffman, "_SPLITTER", {})
+    library = tokenizers.Tokenizer.from_file(queries.WORD_BPE)
+    mine = huffman.WordTokenizer(queries.WORD_BPE)
+    assert mine.by_words == known
+    texts = ["", "It's <|endoftext|>here", "<|ENDOFTEXT|>!", "naïve e\u0301tude, 12 <|startoftext|><|endoftext|>.", "plain words. plain"]
+    for _ in range(2):
+        for text, ids in zip(texts, mine.encode(texts), strict=True):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 # --- pipeline ------------------------------------------------------------------------------
 
 
+def test_pipeline_keeps_odd_columns_and_rows(spark, tmp_path):
+    """Clashing names, null and repeated ids, null and empty texts; an empty table."""
+    taken = ["_num", "_kept", "lang_pred", "lang_score", "num", "rep", "key", "found", "packed", "component_id", "item_id", "other_5"]
+    pick = random.Random(4)
+
+    def text(n):
+        return " ".join(pick.choice("the of and to in is that for it with was".split()) + pick.choice("abcdefgh") * pick.randint(0, 4) for _ in range(n))
+
+    first = text(60)
+    rows = [(i, text(60), "en") for i in range(30)] + [(50, None, "en"), (51, "", None), (None, text(50), "en"), (None, text(50), "en"), (7, text(50), "en"), (60, first, "en"), (61, first, "en")]
+    docs = spark.createDataFrame([(*r, 0, *taken) for r in rows], ", ".join(["doc_id long", "text string", "lang string", "n_chars int", *[f"`{t}` string" for t in taken]]))
+    path = table_dir(tmp_path, spark, benchmark=spark.createDataFrame([(1, "nothing of this is anywhere " * 4)], "item_id long, text string"))
+    for table in (docs, docs.limit(0), docs.drop("n_chars")):
+        seen = table
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, seen, path)
+            assert out.dtypes == table.dtypes
+            out.write.mode("overwrite").parquet(f"{path}/seen-{out.columns == docs.columns}-{len(out.columns)}-{stage.__name__}")
+            seen = spark.read.parquet(f"{path}/seen-{out.columns == docs.columns}-{len(out.columns)}-{stage.__name__}")
+        kept = seen.collect()
+        if table is docs:
+            ids = sorted((r.doc_id is None, r.doc_id or 0) for r in kept)
+            assert ids == sorted([*[(False, i) for i in range(30)], (False, 7), (True, 0), (True, 0), (False, 60)])
+            assert all([r[t] for t in taken] == taken for r in kept)
+        else:
+            assert len(kept) == (34 if "n_chars" not in table.columns else 0)
+        assert corpus_pipeline.STAGES[-1][1](spark, seen, path).count() == len(kept)
+
+
+
 def test_pipeline(spark, tmp_path):
     """Each stage takes out what it should and nothing else."""
     pick = random.Random(8)
