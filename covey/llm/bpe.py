@@ -1,14 +1,15 @@
 """Byte-level BPE, encoding and decoding, as a monoid reduced over a tree.
 
-An element of the monoid is a stretch of text with its tokens. Texts are halved down to leaves,
-leaves are encoded, and neighbours are joined by encoding anew only a window at their border.
-Two facts make the joins exact:
+An element of the monoid is a stretch of text with its tokens. Texts are halved anywhere down to
+leaves, leaves are encoded, and neighbours are joined, level by level, by encoding anew only a
+window at their border. Two facts make the joins exact:
 
 * *Between pieces.* The split pattern looks only to the right, and at most one character far. If
-  the characters on both sides of a cut are of different classes (letter, number, white space,
+  the characters on both sides of a place are of different classes (letter, number, white space,
   other), the left one is not white space, and it is not an apostrophe before a letter, then a
-  piece ends at the cut whatever stands around it. Halving uses only such cuts, where a join is a
-  concatenation (the monoid's trivial window).
+  piece ends at the place whatever stands around it. So the window at a border grows on both sides
+  until it reaches such a place, or the end of the stretch: the tokens beyond are those of whole
+  pieces that the border cannot change, and are kept.
 * *Inside a piece.* Merging takes the lowest rank first, the leftmost of equals. A sequence of
   tokens is the encoding of its bytes if and only if each two neighbours are the encoding of
   theirs: as long as no merge has crossed a token's edge, the merges within two neighbours are
@@ -40,7 +41,8 @@ from pyspark.sql import functions as F
 from covey.llm.columns import text_buffer
 
 SEGMENT_CHARS = 1 << 16
-_LEAF_CHARS = 1 << 13
+_LEAF_CHARS = 1 << 11
+_LEAF_IDS = 1 << 13
 _LEAF_BYTES = 48
 _KEPT_BYTES = 48 << 20
 _ENTRY_BYTES = 200  # of the table, besides a piece's own characters and ids
@@ -61,13 +63,14 @@ class Decoder:
             self.tokens[rank] = token
 
     def decode(self, ids: np.ndarray) -> bytes:
-        """Bytes of the ids: leaves are looked up, then concatenated."""
+        """Bytes of the ids: leaves are looked up, and neighbours concatenated up the tree."""
         look = self.tokens.__getitem__
-        parts = [
-            b"".join(map(look, ids[i : i + _LEAF_CHARS].tolist()))
-            for i in range(0, len(ids), _LEAF_CHARS)
+        level = [
+            b"".join(map(look, ids[i : i + _LEAF_IDS].tolist())) for i in range(0, len(ids), _LEAF_IDS)
         ]
-        return b"".join(parts)
+        while len(level) > 1:
+            level = [b"".join(level[i : i + 2]) for i in range(0, len(level), 2)]
+        return level[0] if level else b""
 
 
 class _Pieces(dict):
@@ -88,6 +91,7 @@ class ByteBpe(Decoder):
         self.lengths = np.array([len(t) for t in self.tokens], np.int64)
         self.pieces = regex.compile(pattern).findall
         self.seen, self.seen_bytes = _Pieces(), 0
+        self.joins = 0
         self._pair_table()
 
     def _pair_table(self) -> None:
@@ -238,13 +242,47 @@ class ByteBpe(Decoder):
     # --- texts ----------------------------------------------------------------------------
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of whole texts."""
-        split = [[self.pieces(leaf) for leaf in leaves(t, _LEAF_CHARS)] for t in texts]
-        self._learn(set().union(*(p for parts in split for p in parts)))
+        """The ids of whole texts: leaves of all texts first, then all joins of a level."""
+        levels = [_edges(len(t), _LEAF_CHARS) for t in texts]
+        leaves_ = [t[a:b] for t, edges in zip(texts, levels, strict=True) for a, b in zip(edges, edges[1:])]
+        ids = iter(self._pieces_of(leaves_))
+        rows = [[next(ids) for _ in edges[1:]] for edges in levels]
+        while any(len(row) > 1 for row in rows):
+            joins = [
+                (n, i, *_window(texts[n], edges[i], edges[i + 1], edges[i + 2]))
+                for n, edges in enumerate(levels)
+                for i in range(0, len(edges) - 2, 2)
+            ]
+            anew = iter(self._pieces_of([texts[n][a:b] for n, _, a, b in joins]))
+            joined: dict[tuple[int, int], np.ndarray] = {}
+            for n, i, a, b in joins:
+                middle = levels[n][i + 1]
+                left, right = texts[n][a:middle], texts[n][middle:b]
+                kept = rows[n][i][: len(rows[n][i]) - self._covering(rows[n][i][::-1], left)]
+                rest = rows[n][i + 1][self._covering(rows[n][i + 1], right) :]
+                joined[n, i] = np.concatenate([kept, next(anew), rest])
+            self.joins += len(joins)
+            rows = [
+                [joined.get((n, i), row[i]) for i in range(0, len(row), 2)] if len(row) > 1 else row
+                for n, row in enumerate(rows)
+            ]
+            levels = [e if len(e) == 2 else e[:-1:2] + e[-1:] for e in levels]
+        return [row[0] for row in rows]
+
+    def _pieces_of(self, stretches: list[str]) -> list[np.ndarray]:
+        """The ids of stretches, each split into pieces on its own."""
+        split = [self.pieces(s) for s in stretches]
+        self._learn(set().union(*split))
         look = self.seen.__getitem__
-        return [
-            np.frombuffer(b"".join([x for p in parts for x in map(look, p)]), np.int32) for parts in split
-        ]
+        return [np.frombuffer(b"".join(map(look, pieces)), np.int32) for pieces in split]
+
+    def _covering(self, ids: np.ndarray, text: str) -> int:
+        """How many of the ids, from the first on, are those of ``text``: it ends where pieces do."""
+        size = len(text.encode())
+        if not size:
+            return 0
+        some = ids[:size]
+        return int(np.searchsorted(np.cumsum(self.lengths[some]), size)) + 1
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_many([text])[0]
@@ -254,6 +292,25 @@ def _packed(ids: Sequence[int]) -> bytes:
     return array("i", ids).tobytes()
 
 
+def _edges(size: int, most: int) -> list[int]:
+    """Where halving a text, and its halves again, cuts it: both ends too."""
+    parts = 1
+    while size > most * parts:
+        parts *= 2
+    return [size * i // parts for i in range(parts + 1)]
+
+
+def _window(text: str, start: int, middle: int, end: int) -> tuple[int, int]:
+    """The nearest places about ``middle`` where a piece ends for certain, or the ends."""
+    a = middle - 1
+    while a > start and not _safe(text, a):
+        a -= 1
+    b = middle + 1
+    while b < end and not _safe(text, b):
+        b += 1
+    return max(a, start), min(b, end)
+
+
 def leaves(text: str, most: int) -> list[str]:
     """``text`` halved until no part is longer than ``most`` characters, each cut moved to the
     nearest place where a piece ends for certain. A run without such a place stays whole."""

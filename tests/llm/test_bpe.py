@@ -54,6 +54,25 @@ def test_rows_of_every_kind(spark, library):
     assert sorted((str(r.doc_id), bytes(r.decoded)) for r in both) == texts
 
 
+@pytest.mark.parametrize("leaf", [1, 2, 3, 7, 64])
+def test_cuts_anywhere(library, monkeypatch, leaf):
+    """Halves that end within words, numbers, white space and characters' runs."""
+    monkeypatch.setattr(bpe, "_LEAF_CHARS", leaf)
+    coder = bpe.ByteBpe(BYTE_BPE, PATTERN)
+    texts = [*_texts(150, 120), "don't 'll stop''re  \n\n x12345678 y", "a", "", "ab" * 300 + "'s" + " " * 90 + "é" * 50]
+    for text, ids in zip(texts, coder.encode_many(texts), strict=True):
+        assert ids.tolist() == library.encode_ordinary(text)
+
+
+def test_ordinary_documents_are_joined(spark, sf_dir, library):
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(200).collect()]
+    coder = bpe.ByteBpe(BYTE_BPE, PATTERN)
+    for text, ids in zip(texts, coder.encode_many(texts), strict=True):
+        assert ids.tolist() == library.encode_ordinary(text)
+        assert coder.decode(ids) == text.encode()
+    assert coder.joins >= sum(len(t) > 2048 for t in texts) > 20
+
+
 def test_table_of_pieces_is_bounded(library, monkeypatch):
     monkeypatch.setattr(bpe, "_KEPT_BYTES", 5_000)
     coder = bpe.ByteBpe(BYTE_BPE, PATTERN)
