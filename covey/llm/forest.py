@@ -1,9 +1,9 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
-Each tree splits the vectors by random directions until its leaves are small. A split lies in the
-widest gap of a node's projections (between their quantiles ``_INNER``), so it tends to pass
-between groups of near duplicates; vectors within a margin of it go to both sides, so that few
-similar ones part. Within leaves all pairs are compared exactly, in double precision, and the links
+Each tree splits the vectors by random directions until its leaves are small. Vectors within a
+margin of a split go to both sides, so that few similar ones part. Of ``_TRIED`` directions, and of
+places between the quantiles ``_INNER`` of a node's projections, the split takes the one that sends
+the fewest vectors to both sides for what it parts, so it tends to pass between groups of near duplicates. Within leaves all pairs are compared exactly, in double precision, and the links
 found in all trees are united: a link counts in the first leaf, by number, that both vectors share.
 
 A round grows every node that is still too large by several levels at once. Its splits are fitted
@@ -43,6 +43,7 @@ _WIDTH = 64  # of longer vectors, fewer make a block
 _LEVELS = 9
 _MARGIN = 0.6  # of the usual distance of two linked vectors along a direction
 _INNER = (0.2, 0.8)
+_TRIED = 8
 _FEWEST = 24
 _BLOCK = 1024
 
@@ -80,42 +81,64 @@ def usable(embeddings: DataFrame) -> DataFrame:
     return packed.groupBy("vec", "dim").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
 
 
-def _direction(tree: int, node: int, dim: int) -> np.ndarray:
+@functools.lru_cache(maxsize=4096)
+def _directions(tree: int, node: int, dim: int) -> np.ndarray:
+    """The directions tried at a node, as columns."""
     seed = int(mix(np.array([node], np.int64).view(np.uint64))[0] >> np.uint64(1)) ^ (tree + 1)
-    out = np.random.default_rng(seed).normal(size=dim)
-    return out / np.linalg.norm(out)
+    out = np.random.default_rng(seed).normal(size=(dim, _TRIED))
+    return out / np.linalg.norm(out, axis=0)
 
 
 def _child(node: int, side: int) -> int:
     return int(mix(np.array([node * 2 + side & (1 << 64) - 1], np.uint64)).view(np.int64)[0])
 
 
-def _fit(tree: int, node: int, x: np.ndarray, levels: int, margin: float) -> dict[int, tuple[float, float]]:
-    """Splits of a node and below: node -> where its projection is split, and the margin."""
+#: Node -> where the projection on which of its directions is split.
+_Splits = dict[int, tuple[float, int]]
+
+
+def _fit(tree: int, node: int, x: np.ndarray, levels: int, margin: float) -> _Splits:
+    """Splits of a node and below."""
     if levels == 0 or len(x) < _FEWEST:
         return {}
-    where = x @ _direction(tree, node, x.shape[1])
-    p = np.sort(where)
-    a, b = (int(q * (len(p) - 1)) for q in _INNER)
-    i = a + int(np.argmax(np.diff(p[a : max(b, a + 1) + 1])))
-    cut = float((p[i] + p[i + 1]) / 2)
+    where = x @ _directions(tree, node, x.shape[1])
+    cut, which, _ = min((_cut(where[:, j], margin, j) for j in range(_TRIED)), key=lambda c: c[2])
+    p = where[:, which]
     if (np.abs(p - cut) <= margin).mean() > 0.5:
         return {}
-    out = {node: (cut, margin)}
-    for s, side in enumerate((where <= cut + margin, where > cut - margin)):
+    out = {node: (cut, which)}
+    for s, side in enumerate((p <= cut + margin, p > cut - margin)):
         out |= _fit(tree, _child(node, s), x[side], levels - 1, margin)
     return out
 
 
-def _route(tree: int, node: int, x: np.ndarray, rows: np.ndarray, splits: dict) -> Iterator[tuple[int, np.ndarray]]:
-    if node not in splits or not len(rows):
-        if len(rows):
-            yield node, rows
+def _cut(where: np.ndarray, margin: float, which: int) -> tuple[float, int, float]:
+    """The best place on one direction: the place, the direction, and copies made for each bit told."""
+    p = np.sort(where)
+    a, b = (int(q * (len(p) - 1)) for q in _INNER)
+    cuts = (p[a : max(b, a + 1)] + p[a + 1 : max(b, a + 1) + 1]) / 2
+    below = np.arange(a + 1, a + 1 + len(cuts)) / len(p)
+    both = (np.searchsorted(p, cuts + margin, "right") - np.searchsorted(p, cuts - margin, "left")) / len(p)
+    bits = -(below * np.log2(below) + (1 - below) * np.log2(np.maximum(1 - below, 1e-12)))
+    cost = np.log2(1 + both) / np.maximum(bits, 1e-12)
+    # Of equally good places the middle of the widest gap.
+    best = np.flatnonzero(cost <= cost.min() * (1 + 1e-9))
+    i = int(best[np.argmax(p[a + 1 + best] - p[a + best])])
+    return float(cuts[i]), which, float(cost[i])
+
+
+def _route(
+    tree: int, node: int, x: np.ndarray, rows: np.ndarray, splits: _Splits, margin: float
+) -> Iterator[tuple[int, np.ndarray]]:
+    if not len(rows):
+        return
+    if node not in splits:
+        yield node, rows
         return
-    cut, margin = splits[node]
-    p = x[rows] @ _direction(tree, node, x.shape[1]) - cut
-    yield from _route(tree, _child(node, 0), x, rows[p <= margin], splits)
-    yield from _route(tree, _child(node, 1), x, rows[p > -margin], splits)
+    cut, which = splits[node]
+    p = x[rows] @ _directions(tree, node, x.shape[1])[:, which] - cut
+    yield from _route(tree, _child(node, 0), x, rows[p <= margin], splits, margin)
+    yield from _route(tree, _child(node, 1), x, rows[p > -margin], splits, margin)
 
 
 _ROW = "tree long, node long, rep long, dim long, done boolean"
@@ -125,6 +148,10 @@ def _grow(rows: DataFrame, unique: DataFrame, large: DataFrame, threshold: float
     """The rows of the large nodes, routed to new nodes; ``done`` where a node stays whole. Rows
     only name their vectors (``unique``), which are joined to them by ``rep``."""
     vectors = unique.select("rep", "vec")
+
+    def margin_of(dim: int) -> float:
+        return _MARGIN * math.sqrt(2 * (1 - threshold) / dim)
+
     open_ = rows.join(large, ["tree", "node", "dim"])
     share = F.pmod(F.xxhash64("rep", "tree"), F.lit(1 << 20)) * F.col("n") < F.lit(SAMPLE << 20)
     sample = open_.filter(share).join(vectors, "rep")
@@ -133,40 +160,51 @@ def _grow(rows: DataFrame, unique: DataFrame, large: DataFrame, threshold: float
         tree, node, n = int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0]), int(pdf["n"].iloc[0])
         x = _unit(np.frombuffer(b"".join(pdf["vec"]), "<f4").reshape(len(pdf), -1).astype(np.float64))
         levels = min(_LEVELS, math.ceil(math.log2(n / leaf)) + 1)
-        margin = _MARGIN * math.sqrt(2 * (1 - threshold) / x.shape[1])
-        splits = _fit(tree, node, x, levels, margin)
+        splits = _fit(tree, node, x, levels, margin_of(x.shape[1]))
         return pd.DataFrame({"tree": [tree], "node": [node], "splits": [pickle.dumps(splits)]})
 
     fitted = materialise(sample.groupBy("tree", "node").applyInPandas(fit, "tree long, node long, splits binary"), "forest-splits")
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, dict] = {}
+        known: dict[bytes, _Splits] = {}
         for batch in batches:
             tree, node, dim = (batch.column(c).to_numpy() for c in ("tree", "node", "dim"))
-            splits = batch.column("splits")
-            group = np.unique(np.stack([tree, node, dim], 1), axis=0, return_inverse=True)[1].ravel()
-            for g in range(int(group.max()) + 1 if len(group) else 0):
-                rows = np.flatnonzero(group == g)
-                i = int(rows[0])
-                data = splits[i].as_py()
+            splits, vec = batch.column("splits"), batch.column("vec")
+            # Rows come sorted by node, so a node's are next to one another.
+            change = (tree[1:] != tree[:-1]) | (node[1:] != node[:-1]) | (dim[1:] != dim[:-1])
+            starts = np.append(0, np.flatnonzero(change) + 1) if len(tree) else np.zeros(0, np.int64)
+            taken, names, done = [], [], []
+            for a, b in zip(starts.tolist(), np.append(starts[1:], len(tree)).tolist(), strict=True):
+                data = splits[a].as_py()
                 if data is None:
-                    parts, finished = [(int(node[i]), np.arange(len(rows)))], True
+                    parts, finished = [(int(node[a]), np.arange(b - a))], True
                 else:
                     if data not in known:
+                        if len(known) > 256:
+                            known.clear()
                         known[data] = pickle.loads(data)
-                    x = _unit(_vectors(batch.column("vec").take(pa.array(rows))))
-                    parts = list(_route(int(tree[i]), int(node[i]), x, np.arange(len(x)), known[data]))
-                    finished = not known[data]
+                    x, finished = _unit(_vectors(vec.slice(a, b - a))), not known[data]
+                    parts = _route(int(tree[a]), int(node[a]), x, np.arange(b - a), known[data], margin_of(int(dim[a])))
                 for name, some in parts:
-                    got = batch.take(pa.array(rows[some]))
-                    n = len(some)
-                    yield pa.record_batch(
-                        [got.column("tree"), pa.array(np.full(n, name)), got.column("rep"), got.column("dim"), pa.array(np.full(n, finished))],
-                        ["tree", "node", "rep", "dim", "done"],
-                    )
+                    taken.append(some + a)
+                    names.append(np.full(len(some), name))
+                    done.append(np.full(len(some), finished))
+            if taken:
+                rows = np.concatenate(taken)
+                yield pa.record_batch(
+                    [
+                        pa.array(tree[rows]),
+                        pa.array(np.concatenate(names)),
+                        batch.column("rep").take(pa.array(rows)),
+                        pa.array(dim[rows]),
+                        pa.array(np.concatenate(done)),
+                    ],
+                    ["tree", "node", "rep", "dim", "done"],
+                )
 
     grown = open_.join(vectors, "rep").join(fitted, ["tree", "node"], "left").select("tree", "node", "rep", "dim", "vec", "splits")
-    return grown.mapInArrow(route, _ROW)
+    # Sorted where the rows are: a node may hold any share of them, so no task gathers one.
+    return grown.sortWithinPartitions("tree", "node", "dim").mapInArrow(route, _ROW)
 
 
 def links(embeddings: DataFrame, threshold: float = 0.95, trees: int = TREES, leaf: int = LEAF, largest: int = LARGEST) -> DataFrame:
