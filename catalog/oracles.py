@@ -368,6 +368,11 @@ ORACLES: dict[str, str] = {
         "SELECT l_returnflag, l_linestatus, l_linenumber FROM lineitem "
         f"ORDER BY {_key(['l_returnflag', 'l_linestatus', 'l_linenumber'])} LIMIT 5000"
     ),
+    "medians_by_sketch": "SELECT unnest(['quantity', 'price', 'tax', 'discount']) AS column_name, true AS within",
+    "align_text_numbers": (
+        "SELECT CAST(NULL AS VARCHAR) AS product_name, CASE WHEN l_returnflag = 'R' THEN CAST(l_linenumber AS DOUBLE) END AS size, "
+        "CAST(l_orderkey AS DOUBLE) AS l_orderkey, CAST(NULL AS DOUBLE) AS absent FROM lineitem"
+    ),
     "impute_surrogates": _surrogates(),
     "impute_values": _impute_values(),
     "scaler_stats": _scaler_stats(),

@@ -349,6 +349,32 @@ def capped_sample_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- preparation ---------------------------------------------------------------------------
 
 
+def medians_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default surrogates: is each within a thousandth of the middle rank?"""
+    gaps = derived(table(spark, sf_dir, "lineitem"), GAPS)
+    columns = ["quantity", "price", "tax", "discount"]
+    found = preparation.fit_imputer(gaps, columns).surrogateDF.first().asDict()
+    ranks = []
+    for c in columns:
+        valid = F.when(~F.isnan(c), F.col(c))
+        below, up_to, n = F.count_if(valid < found[c]), F.count_if(valid <= found[c]), F.count(valid)
+        slack = n * Params().relative_error + 1
+        ranks.append(F.struct(F.lit(c).alias("column_name"), ((below - slack <= n / 2) & (up_to + slack >= n / 2)).alias("within")))
+    return gaps.agg(F.array(*ranks).alias("ranks")).select(F.inline("ranks"))
+
+
+def align_text_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features that a table holds as texts, some of which spell what is no finite number."""
+    texts = derived(
+        table(spark, sf_dir, "lineitem"),
+        {
+            "l_orderkey": "l_orderkey",
+            "size": "CASE l_returnflag WHEN 'A' THEN 'Infinity' WHEN 'N' THEN 'NaN' ELSE CAST(l_linenumber AS STRING) END",
+        },
+    )
+    return features.align(texts, ["size", "l_orderkey", "absent"], ["product_name"])
+
+
 def impute_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     gaps = derived(table(spark, sf_dir, "lineitem"), GAPS)
     columns = ["quantity", "price", "tax"]
@@ -819,6 +845,8 @@ QUERIES = [
     capped_sample_distinct,
     capped_sample_copies,
     capped_sample_default,
+    medians_by_sketch,
+    align_text_numbers,
     impute_surrogates,
     impute_values,
     scaler_stats,
