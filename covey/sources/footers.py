@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import contextlib
+import itertools
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from covey.functions.columns import column
 from covey.sources.shared import settings
@@ -23,16 +25,35 @@ class Counts:
 
 
 def counts(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> Counts:
-    """Rows and non-null values of top-level columns. Writers may leave null counts out of a
-    footer; a table with such files is counted by reading these columns."""
-    wanted = _wanted(columns)
+    """Rows and non-null values of top-level columns.
+
+    Spark looks a column's count up by its place among the table's columns, but footers list what
+    nested columns consist of. So only plain columns before the first nested one are told by
+    footers; the others are read. So are all where a writer left the counts out."""
+    df = spark.read.parquet(path)
+    told = _told_by_footers(df.schema)
+    by_footer = [c for c in columns if c in told]
+    by_reading = [c for c in columns if c not in told]
     try:
-        with footers_only(spark, path) as df:
-            row = df.agg(*wanted).first()
+        with footers_only(spark, path) as pushed:
+            found = _named(pushed.agg(*_wanted(by_footer)).first(), by_footer)
     except PySparkException:
-        row = spark.read.parquet(path).agg(*wanted).first()
+        found, by_reading = {}, list(columns)
+    if by_reading or not found:
+        found |= _named(df.agg(*_wanted(by_reading)).first(), by_reading)
+    return Counts(found[None], {c: found[c] for c in columns})
+
+
+def _named(row: Row, columns: list[str]) -> dict[str | None, int]:
     # Pushed counts are summed up, and the sum over no file is null.
-    return Counts(row["n"] or 0, {c: row[f"c{i}"] or 0 for i, c in enumerate(columns)})
+    return {None: row["n"] or 0} | {c: row[f"c{i}"] or 0 for i, c in enumerate(columns)}
+
+
+def _told_by_footers(schema: T.StructType) -> set[str]:
+    plain = itertools.takewhile(
+        lambda f: not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)), schema.fields
+    )
+    return {f.name for f in plain}
 
 
 def _wanted(columns: Sequence[str]) -> list[Column]:

@@ -219,6 +219,25 @@ def test_counts_come_from_footers(spark, tmp_path):
     assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
 
 
+def test_counts_beside_nested_columns(spark, tmp_path):
+    """What nested columns consist of takes places in the footers; only columns before them count."""
+    path = str(tmp_path / "t")
+    df = spark.range(0, 300, 1, 3).selectExpr(
+        "IF(id % 2 = 0, NULL, id) AS half",
+        "named_struct('a', id, 'b', IF(id < 100, NULL, 'x')) AS pair",
+        "IF(id % 3 = 0, NULL, id) AS thirds",
+        "IF(id % 5 = 0, NULL, array(id, NULL)) AS list",
+        "map('k', id, 'l', id) AS by_name",
+        "IF(id < 10, id, NULL) AS few",
+    )
+    df.write.parquet(path)
+    want = {"half": 150, "pair": 300, "thirds": 200, "list": 240, "by_name": 300, "few": 10}
+    assert footers.counts(spark, path, df.columns) == footers.Counts(300, want)
+    assert footers.counts(spark, path) == footers.Counts(300, {})
+    assert footers.counts(spark, path, ["few"]) == footers.Counts(300, {"few": 10})
+    assert features.select_stored_features(spark, path, Params(min_non_null_ratio=0.6)) == (["thirds"], 300)
+
+
 def test_stored_features_are_the_same(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(200).selectExpr(
