@@ -173,7 +173,7 @@ def occurrences(docs: DataFrame, symbols: Symbols, span: int, gram: int) -> Data
     many such rows as there are batches, not texts."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in columns.texts(batches, "text", 1 << 24):
+        for batch in columns.texts(batches, "text", 1 << 23):
             got = []
             for part in columns.texts(iter([batch]), "text", 1 << 21):
                 num = part.column(0).to_numpy()
@@ -414,6 +414,8 @@ def whole_keys(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterat
         size = sum(b.column("stretch").nbytes for b in held) if cut else 0
     if held:
         yield _one(pa.Table.from_batches(held))
+    held.clear()
+    columns.release()
 
 
 def covered(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

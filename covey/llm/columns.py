@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -126,7 +127,7 @@ def whole_hash(values: np.ndarray) -> np.uint64:
     return mix(run_hashes(values, len(values)) ^ np.uint64(len(values)))[0]
 
 
-def texts(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def texts(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a piece holds about ``most`` bytes of text, or one row."""
     for batch in batches:
         at = text_buffer(batch.column(column))[1]
@@ -135,3 +136,22 @@ def texts(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 23) -
             b = max(a + 1, int(np.searchsorted(at, at[a] + most, "right")) - 1)
             yield batch.slice(a, b - a)
             a = b
+    release()
+
+
+def release() -> None:
+    """Give back what a task has freed. Workers live on from task to task, several an executor, and
+    would keep their largest task's memory."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def _trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return None  # another C library
+
+
+_TRIM = _trim()

@@ -164,7 +164,7 @@ def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataF
     shards = anchors.contexts(docs, usual, anchors.word_symbols).repartition("key").sortWithinPartitions("key")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in anchors.whole_keys(batches, 1 << 23):
+        for batch in anchors.whole_keys(batches, 1 << 21):
             column = batch.column("stretch")
             at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) // 8
             symbols = np.frombuffer(column.buffers()[2], np.uint64)[at[0] : at[-1]]

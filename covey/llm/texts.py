@@ -9,7 +9,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from covey.llm.columns import text_buffer
+from covey.llm.columns import release, text_buffer
 from covey.llm.components import bitmap, passes
 
 PACKED = "doc_id long, packed binary"
@@ -53,3 +53,4 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 21)
             b = max(a + 1, int(np.searchsorted(at, at[a] + most, "right")) - 1)
             yield batch.slice(a, b - a)
             a = b
+    release()
