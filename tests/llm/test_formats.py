@@ -15,6 +15,7 @@ import tokenizers
 import corpus_pipeline
 from covey.llm import bpe, forest, huffman, queries, tokencounts, warc
 from covey.llm.components import roots
+from covey.sources import shared as written
 from tests.llm import brute
 from tests.llm.fixtures import make_docs, table_dir
 
@@ -294,7 +295,7 @@ def test_pipeline_keeps_odd_columns_and_rows(spark, tmp_path):
 
 
 
-def test_pipeline(spark, tmp_path):
+def test_pipeline(spark, tmp_path, monkeypatch):
     """Each stage takes out what it should and nothing else."""
     pick = random.Random(8)
     words = {"en": "the of and to in is that for it with was".split(), "de": "der die und das nicht ist ein zu von mit sich".split()}
@@ -323,6 +324,9 @@ def test_pipeline(spark, tmp_path):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{path}/stage2").collect()}
     assert shared not in texts[104] and texts[104] and shared not in texts[105] and texts[105]
     assert all(texts[i] == t for i, t, _ in rows if i < 80)
+    monkeypatch.setattr(written, "shared_dir", lambda _: f"{path}/shared")
     final = {r.doc_id: r for r in corpus_pipeline.run(spark, path).collect()}
+    # What the stages wrote for themselves is gone.
+    assert [p.name[:10] for p in (tmp_path / "shared" / "covey").iterdir()] == ["pipeline-4"]
     assert set(final) == left[4]
     assert bpe.coder(queries.BYTE_BPE, queries.public_tokenizers.PATTERN).decode(np.array(final[3].ids)) == texts[3].encode()

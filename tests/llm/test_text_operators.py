@@ -149,6 +149,25 @@ def test_jaccard_group_of_near_copies(spark):
     assert got == want
 
 
+def test_jaccard_of_a_shared_phrase(spark, monkeypatch):
+    """A phrase in a third of all documents, of all sizes and different classes, short enough to be in
+    every prefix; near copies among them."""
+    pick = random.Random(21)
+    phrase = "we are very sorry indeed".split()
+    rows = []
+    for i in range(300):
+        own = [f"w{pick.randint(0, 10**6)}" for _ in range(pick.randint(1, 40))]
+        rows.append((i, " ".join(phrase + own if i % 3 == 0 else own + own[:2])))
+    rows += [(1000 + i, rows[3 * i][1] + " " + rows[3 * i][1].split()[-1]) for i in range(40)]
+    # Without a first pass all links are the prefix join's.
+    monkeypatch.setattr(ngrams, "_neighbours", lambda kept: kept.selectExpr("rep AS a", "rep AS b").limit(0))
+    sets = {i: brute.shingles(t) for i, t in rows}
+    want = brute.classes(sets)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngrams.jaccard_classes(make_docs(spark, rows)).collect()}
+    assert got == {i: (len(s), want[i]) for i, s in sets.items()}
+    assert len(set(want.values())) < len(rows) - 10
+
+
 def test_jaccard_null_and_repeated_rows(spark):
     rows = [(None, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f"), (5, "A B C D E F")]
     got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in ngrams.jaccard_classes(make_docs(spark, rows)).collect())
