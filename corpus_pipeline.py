@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covey.llm import bpe, decontamination, fmindex, langid, ngrams
-from covey.sources.shared import materialise
+from covey.sources.shared import fresh_path, materialise, remove, scratch
 
 #: A document is rejected if no language has this much of its windows' probability.
 LEAST_SCORE = 0.4
@@ -99,7 +99,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages; what a stage wrote for its own use goes with it, and its result with the next."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for i, (_, stage) in enumerate(STAGES):
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{i}")
+        path = fresh_path(spark, f"pipeline-{i}")
+        with scratch(spark):
+            done = stage(spark, docs, sf_dir)
+            done.write.parquet(path)
+        docs = spark.read.schema(done.schema).parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs
