@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from covey.functions.columns import column
 
 _ACCURACY = 10_000
+_BINS = 4_096
+_SKETCHED_AT_MOST = 100_000
 _RANKED_IN_ONE_TASK = 20_000
 
 
@@ -26,16 +29,28 @@ class _Bracket:
     inside: int
     slack: float = 2 / _ACCURACY
     open: bool = False
+    # Most values fell into one bin: bins of equal width say little about them.
+    bunched: bool = False
 
     @property
     def found(self) -> bool:
         return self.low == self.high
 
+    @property
+    def bins_per_unit(self) -> float:
+        """How many bins of equal width there are to a unit; 0 where a sketch is of more use."""
+        if self.inside <= _SKETCHED_AT_MOST:
+            return 0.0
+        width = self.high - self.low
+        scale = _BINS / width if math.isfinite(width) else 0.0
+        return scale if math.isfinite(scale) and not self.bunched else 0.0
+
+    def holds(self, v: Column) -> Column:
+        return (v > self.low) & (v < self.high) if self.open else v.between(self.low, self.high)
+
     def value(self) -> Column:
         v = _valid(self.name)
-        if self.open:
-            return F.when((v > self.low) & (v < self.high), v)
-        return F.when(v.between(self.low, self.high), v)
+        return F.when(self.holds(v), v)
 
     def close_on(self, value: float) -> None:
         self.low = self.high = value
@@ -45,19 +60,26 @@ class _Bracket:
 def exact_lower_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """The smallest value with at least half of the valid values at or below it, per column.
 
-    Each round is two aggregations over the columns: a quantile sketch proposes a narrow bracket
-    around the median, counting proves it. A bracket keeps about 1 value in 2,000, so the round
-    count grows with the logarithm of the input; once few enough values are left, they are
-    ranked. The proposal's two ends are values of the column and are counted on their own: either
-    one of them is the median, or they leave the bracket. So every round that finds the median
-    between them has fewer values inside, and one that doesn't looks wider.
+    One aggregation finds the extremes; then each round narrows a bracket around the median, until
+    few enough values are left in it to be ranked. A round counts the bracket's values by bins of
+    equal width and goes on with the extremes of the bin that holds the median, which is found if
+    these are equal. Bins follow from sums and products alone, so a larger value is never in an
+    earlier bin, and the counts are exact.
+
+    Where a bin keeps most of the values, the bracket has no finite width, or so few values are left
+    that sketches cost little, a round is two aggregations: a quantile sketch proposes a narrow bracket, counting proves it. It keeps about 1
+    value in 2,000, so the round count grows with the logarithm of the input. The proposal's two ends
+    are values of the column and are counted on their own: either one of them is the median, or
+    they leave the bracket. So every round that finds the median between them has fewer values
+    inside, and one that doesn't looks wider.
     """
-    brackets, proposals = _whole_columns(df, columns)
+    brackets = _whole_columns(df, columns)
     while wide := [b for b in brackets if not b.found and b.inside > _RANKED_IN_ONE_TASK]:
-        if not proposals:
-            proposals = _proposed(df, wide)
-        _narrow(df, wide, proposals)
-        proposals = {}
+        binned = [b for b in wide if b.bins_per_unit]
+        if binned:
+            _narrow_by_bins(df, binned)
+        if sketched := [b for b in wide if b not in binned]:
+            _narrow(df, sketched, _proposed(df, sketched))
     if rest := [b for b in brackets if not b.found]:
         _ranked(df, rest)
     medians: dict[str, float | None] = dict.fromkeys(columns)
@@ -70,28 +92,46 @@ def _valid(name: str) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def _whole_columns(
-    df: DataFrame, columns: Sequence[str]
-) -> tuple[list[_Bracket], dict[str, list[float]]]:
-    """Every column that has a valid value, unbracketed, and a first proposal for each."""
-    around = _around(0.5, _Bracket.slack)
+def _whole_columns(df: DataFrame, columns: Sequence[str]) -> list[_Bracket]:
+    """Every column that has a valid value, unbracketed."""
     whole = df.agg(
         *[
-            F.struct(
-                F.min(_valid(c)),
-                F.max(_valid(c)),
-                F.count(_valid(c)),
-                F.percentile_approx(_valid(c), around, _ACCURACY),
-            ).alias(str(i))
+            F.struct(F.min(_valid(c)), F.max(_valid(c)), F.count(_valid(c))).alias(str(i))
             for i, c in enumerate(columns)
         ]
     ).first()
-    brackets, proposals = [], {}
-    for name, (low, high, n, proposal) in zip(columns, whole):
-        if n > 0:
-            brackets.append(_Bracket(name, low, high, (n + 1) // 2, n))
-            proposals[name] = proposal
-    return brackets, proposals
+    return [
+        _Bracket(name, low, high, (n + 1) // 2, n) for name, (low, high, n) in zip(columns, whole) if n > 0
+    ]
+
+
+def _narrow_by_bins(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Each bracket's values counted by bin, in one aggregation of at most ``_BINS`` rows a column.
+    The brackets' ends are finite, so NaN, which sorts above every number, is in none."""
+    binned = []
+    for i, b in enumerate(brackets):
+        v = column(b.name).cast("double")
+        at = F.floor((v - F.lit(b.low)) * F.lit(b.bins_per_unit))
+        at = F.least(at, F.lit(_BINS - 1).cast("long")) + F.lit(i * _BINS)
+        binned.append(F.when(b.holds(v), F.struct(at.alias("bin"), v.alias("value"))))
+    counted = (
+        df.select(F.inline(F.array(*binned)))
+        .where("bin IS NOT NULL")
+        .groupBy("bin")
+        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .orderBy("bin")
+        .collect()
+    )
+    found: list[list] = [[] for _ in brackets]
+    for row in counted:
+        found[row["bin"] // _BINS].append(row)
+    for b, bins in zip(brackets, found):
+        for _, n, low, high in bins:
+            if b.rank <= n:
+                break
+            b.rank -= n
+        b.bunched = n > b.inside / 4
+        b.low, b.high, b.inside, b.open = low, high, n, False
 
 
 def _proposed(df: DataFrame, brackets: list[_Bracket]) -> dict[str, list[float]]:

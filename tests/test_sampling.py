@@ -142,3 +142,39 @@ def test_median_widens_after_a_miss(spark, monkeypatch):
     assert medians.exact_lower_medians(df, ["x"]) == {"x": 5000.0}
     # The second look, over the same bracket, was four times as wide.
     assert asked[1] == 4 * asked[0]
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "CAST(id % 50 + 1 AS DOUBLE)",
+        "IF(id % 3 = 0, CAST(id % 9 AS DOUBLE), -0.0D)",
+        "CAST(id * 7919 % 100003 AS DOUBLE) / 100",
+    ],
+)
+def test_exact_medians_of_even_values_need_no_sketch(spark, monkeypatch, sql):
+    """Sketches of every row took most of the time; bins find the median on their own."""
+
+    def refused(*_):
+        raise AssertionError("a sketch was asked for")
+
+    monkeypatch.setattr(medians.F, "percentile_approx", refused)
+    df = spark.range(200_000).selectExpr(f"{sql} AS x")
+    assert medians.exact_lower_medians(df, ["x"]) == {"x": lower_median([r.x for r in df.collect()])}
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "exp(CAST(id % 1400 AS DOUBLE) - 700)",
+        "IF(id = 7, 1e300D, CAST(id AS DOUBLE))",
+        "IF(id % 2 = 0, -1.7e308D, 1.7e308D) / (id % 5 + 1)",
+        "CASE WHEN id < 10 THEN CAST('-Infinity' AS DOUBLE) WHEN id < 20 THEN CAST('Infinity' AS DOUBLE) ELSE CAST(id AS DOUBLE) END",
+        "CAST(id AS DOUBLE) * 5e-324D",
+        "CASE WHEN id % 4 = 0 THEN NULL WHEN id % 4 = 1 THEN CAST('NaN' AS DOUBLE) ELSE CAST(id * id AS DOUBLE) END",
+    ],
+)
+def test_exact_medians_of_bunched_and_extreme_values(spark, sql):
+    df = spark.range(200_000).selectExpr(f"{sql} AS x", "CAST(id AS DOUBLE) AS y")
+    values = [r.x for r in df.collect() if r.x is not None and r.x == r.x]
+    assert medians.exact_lower_medians(df, ["x", "y"]) == {"x": lower_median(values), "y": 99999.0}
