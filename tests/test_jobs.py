@@ -414,3 +414,31 @@ def test_each_k_has_jobs_of_its_own(spark):
     jobs = clustering.sweep(vectors, 400, 1, Params(k_max=4)).jobs
     assert sorted(jobs) == [2, 3, 4] and all(jobs.values())
     assert len({j for ids in jobs.values() for j in ids}) == sum(map(len, jobs.values()))
+
+
+def test_rows_of_many_columns_are_stored_once(spark, monkeypatch):
+    """Spark shuffles a distinct by many columns in an order of its own: rows were then dealt over
+    all buckets by every task, and stored again."""
+    calls, stored = [], layout._stored
+    monkeypatch.setattr(layout, "_stored", lambda *given: calls.append(1) or stored(*given))
+    names = [f"x{i}" for i in range(8)]
+    rows = spark.range(600).selectExpr(*[f"CAST(id % 300 * {i + 1} % 17 AS DOUBLE) + id % 300 AS {n}" for i, n in enumerate(names)])
+    kept = layout.store_distinct(rows, 5)
+    assert len(calls) == 1
+    assert sorted(map(tuple, kept.rows().collect())) == sorted(set(map(tuple, rows.collect())))
+
+
+def test_a_fit_by_blocks_is_the_fit_by_rows(spark, monkeypatch):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    columns = ["CAST(id % 3 * 50 + id % 7 AS DOUBLE) AS a", "CAST(id * 31 % 101 AS DOUBLE) / 10 AS b"]
+    rows = spark.range(0, 3_000, 1, 3).selectExpr(*columns)
+    vectors = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    made = []
+    monkeypatch.setattr(clustering, "KMeans", lambda **given: made.append(KMeans(**given)) or made[-1])
+    model = clustering.fit_kmeans(vectors, 3, 42)
+    assert made[0].getSolver() == "block"
+    by_rows = KMeans(k=3, seed=42, solver="row").fit(vectors)
+    for got, expected in zip(model.clusterCenters(), by_rows.clusterCenters(), strict=True):
+        assert list(got) == pytest.approx(list(expected), abs=1e-9)
