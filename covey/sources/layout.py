@@ -54,7 +54,11 @@ class StoredRows:
 def store_distinct(df: DataFrame, partitions: int) -> StoredRows:
     """One of each row of ``df``, stored in ``partitions`` buckets: one shuffle, behind which
     copies are dropped once more before it, so that a hot row is one record per task."""
-    return _stored(df.distinct(), partitions)
+    # By one struct: Spark may shuffle by many columns in an order of its own, and its parts would
+    # not be the buckets. A struct hashes as its fields do in theirs.
+    whole = df.select(F.struct(*[column(c).alias(f"c{i}") for i, c in enumerate(df.columns)]).alias("row"))
+    distinct = whole.distinct().select("row.*").toDF(*df.columns)
+    return _stored(distinct, partitions)
 
 
 def store_rows(df: DataFrame, partitions: int) -> StoredRows:
