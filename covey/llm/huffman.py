@@ -17,6 +17,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -63,6 +64,18 @@ _SPLITTER = {
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
     ],
 }
+# Letters that normal form C leaves as they are and lower case makes one letter each.
+_LETTERS = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]{1,64}")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in the pieces of a byte-level tokenizer."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 # --- code ----------------------------------------------------------------------------------
@@ -177,9 +190,11 @@ class WordTokenizer:
     stand, and each only once while the table lasts.
 
     What a new stretch consists of is looked up too: closing ASCII punctuation after a letter or
-    digit is a piece of its own. The library gets many words in one text, which costs it less than
-    many texts; as a word of letters is one piece, its number of the piece tells them apart. Ids are
-    kept as bytes, 32 bits wide, so a text's ids are one join of its stretches'.
+    digit is a piece of its own. Words of Latin-1 letters are one piece that no rule changes but for
+    the case, so they go to the library's model at once, past the rules that cost most. Of other
+    words the library gets many in one text, which costs it less than many texts; as a word of
+    letters is one piece, its number of the piece tells them apart. Ids are kept as bytes, 32 bits
+    wide, so a text's ids are one join of its stretches'.
 
     That rests on the file's rules. Texts with the string of a special token, which the library
     looks for before any rule, are given to it whole, as are all texts where the rules differ."""
@@ -193,6 +208,7 @@ class WordTokenizer:
             rules = json.load(file)
         self.by_words = rules["normalizer"] == _NORMALIZER and rules["pre_tokenizer"] == _SPLITTER
         self.specials = [token["content"] for token in rules["added_tokens"]]
+        self.model = self.library.model
         self.seen: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -207,14 +223,15 @@ class WordTokenizer:
         return [next(known) if w else next(rest) for w in whole]
 
     def _encode_by_words(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [t.split(" ") for t in texts]
+        # A line's end counts as the space that the library makes of it.
+        parts = [t.replace("\n", " ").split(" ") for t in texts]
         new = set().union(*parts) - self.seen.keys()
         if len(self.seen) + len(new) > _STRETCHES_KEPT:
             self.seen.clear()
             new = set().union(*parts)
         if len(self.words) + len(new) > _WORDS_KEPT:
             self.words.clear()
-        halves = {x: _halves(x) for x in new}
+        halves = {x: (x.lower(), "") if x.isalnum() and x.isascii() else _halves(x) for x in new}
         self._learn(set(chain.from_iterable(halves.values())) - self.words.keys())
         words = self.words
         self.seen.update((x, words[a] + words[b]) for x, (a, b) in halves.items())
@@ -226,6 +243,18 @@ class WordTokenizer:
         return out
 
     def _learn(self, words: set[str]) -> None:
+        piece, known = self.model.tokenize, self.words
+        rest = []
+        for w in words:
+            if not _LETTERS.fullmatch(w):
+                rest.append(w)
+                continue
+            lower = w.lower()
+            if not lower.isascii():
+                lower = lower.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            got = [token.id for token in piece(lower)]
+            known[w] = struct.pack(f"<{len(got)}I", *got)
+        words = rest
         plain = sorted(w for w in words if w.isalpha() and len(w) <= 64)
         groups = [plain[i : i + 64] for i in range(0, len(plain), 64)]
         other = [w for w in words if not (w.isalpha() and len(w) <= 64)]

@@ -262,6 +262,33 @@ def test_tokenizer_as_the_library(monkeypatch, known):
             assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_letters_pass_the_rules_by(monkeypatch):
+    """Words of Latin-1 letters, also around the end of a line, go to the model alone; ids are the library's."""
+    library = tokenizers.Tokenizer.from_file(queries.WORD_BPE)
+    mine = huffman.WordTokenizer(queries.WORD_BPE)
+    every = [chr(c) for c in range(0x21, 0x250)]
+    texts = [
+        "first line.\nSecond\r\nthird\tline\n\n\u0301x \n",
+        " ".join("w" + c + "o" for c in every) + "\n" + "\n".join(every),
+        "\u212Aelvin \u212Bngstr\u00F6m \u0130stanbul STRASSE stra\u1E9Ee e\u0301\ne \u0301 a\u00ADb \u00B5m \u00AA " + "long" * 40,
+    ]
+    for _ in range(2):
+        for text, ids in zip(texts, mine.encode(texts), strict=True):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    asked = []
+
+    class Watched:
+        encode_special_tokens = False
+
+        def encode_batch_fast(self, some, **given):
+            asked.extend(some)
+            return library.encode_batch_fast(some, **given)
+
+    mine.library = Watched()
+    mine.encode(["Plain words\nover\u00E9 LINES.\nand More"])
+    assert not asked
+
+
 # --- pipeline ------------------------------------------------------------------------------
 
 
