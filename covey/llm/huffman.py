@@ -14,14 +14,16 @@ blocks' offsets. Blocks can be decoded on their own, and from any checkpoint on.
 
 from __future__ import annotations
 
+import codecs
 import functools
 import json
 import os
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,8 @@ EVERY = 256
 END_ID = 1
 IDS_PER_FILE = 1 << 22
 _HEAD, _TAIL = b"COVH1\0\0\0", b"COVH1END"
-_STRETCHES_KEPT = 1 << 19
 _WORDS_KEPT = 1 << 20
+_LONG = 1 << 22
 
 # The rules of a tokenizer file under which words can be encoded on their own.
 _NORMALIZER = {
@@ -65,18 +67,43 @@ _SPLITTER = {
     ],
 }
 # Letters that normal form C leaves as they are and lower case makes one letter each.
-_LETTERS = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]{1,64}")
+_LETTERS = re.compile(rb"(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF]){1,64}")
 
 
-def _byte_letters() -> dict[int, str]:
+def _byte_letters() -> str:
     """The character that stands for each byte in the pieces of a byte-level tokenizer."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return "".join(chr(b if b in shown else 256 + hidden.index(b)) for b in range(256))
 
 
 _BYTE_LETTERS = _byte_letters()
 
+# What a byte is to the borders of words.
+_SPACE, _ALNUM, _MARK, _APOSTROPHE, _REST = range(5)
+
+
+def _kinds() -> bytes:
+    out = np.full(256, _REST, np.uint8)
+    out[[9, 10, 11, 12, 13, 32]] = _SPACE
+    out[0x21:0x7F] = _MARK
+    out[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = _ALNUM
+    out[0x27] = _APOSTROPHE
+    return out.tobytes()
+
+
+def _borders() -> bytes:
+    """Of two bytes' kinds, at 8 times the first plus the second: whether there is a border between."""
+    out = np.zeros((32, 8), bool)
+    out[_SPACE] = out[_ALNUM, [_MARK, _APOSTROPHE]] = out[_MARK, _ALNUM] = True
+    return out.tobytes()
+
+
+_KIND, _BORDER = _kinds(), _borders()
+_LATIN = np.zeros(256, bool)  # second byte of a letter whose first one is C3
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+
 
 # --- code ----------------------------------------------------------------------------------
 
@@ -185,16 +212,19 @@ class Decoder:
 
 
 class WordTokenizer:
-    """A tokenizer of the library that drops white space and lower-cases, applied to the stretches
-    between spaces: none of its rules looks past a space, so they are encoded alike wherever they
-    stand, and each only once while the table lasts.
+    """A tokenizer of the library that drops white space and lower-cases, applied to the words
+    between borders that none of its rules looks past: they are encoded alike wherever they stand,
+    and each only once while the table lasts.
 
-    What a new stretch consists of is looked up too: closing ASCII punctuation after a letter or
-    digit is a piece of its own. Words of Latin-1 letters are one piece that no rule changes but for
-    the case, so they go to the library's model at once, past the rules that cost most. Of other
-    words the library gets many in one text, which costs it less than many texts; as a word of
-    letters is one piece, its number of the piece tells them apart. Ids are kept as bytes, 32 bits
-    wide, so a text's ids are one join of its stretches'.
+    Such borders are ASCII white space, and where a letter or digit (of ASCII, or a letter of
+    Latin-1) meets ASCII punctuation; not from an apostrophe to a letter, as in "'s". They are found
+    in the bytes of many texts at once, Arrow tells a batch's words apart, and only its distinct
+    words are looked up; a text's ids are gathered by their numbers.
+
+    Words of Latin-1 letters are one piece that no rule changes but for the case, so they go to the
+    library's model at once, past the rules that cost most. Of other words the library gets many in
+    one text, which costs it less than many texts; as a word of letters is one piece, its number of
+    the piece tells them apart.
 
     That rests on the file's rules. Texts with the string of a special token, which the library
     looks for before any rule, are given to it whole, as are all texts where the rules differ."""
@@ -209,52 +239,72 @@ class WordTokenizer:
         self.by_words = rules["normalizer"] == _NORMALIZER and rules["pre_tokenizer"] == _SPLITTER
         self.specials = [token["content"] for token in rules["added_tokens"]]
         self.model = self.library.model
-        self.seen: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[bytes, int] = {}  # a word's number
+        self.ids = np.zeros(0, np.uint32)  # of all words in turn
+        self.ends = np.zeros(1, np.int64)  # of a word's ids there, after a nought
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         whole = [not self.by_words or any(s in t for s in self.specials) for t in texts]
         self.library.encode_special_tokens = False
         given = self.library.encode_batch_fast([t for t, w in zip(texts, whole, strict=True) if w], add_special_tokens=False)
-        # A stretch in lower case may read as a special token that its text doesn't hold.
+        # A word in lower case may read as a special token that its text doesn't hold.
         self.library.encode_special_tokens = True
         rest = iter(self._encode_by_words([t for t, w in zip(texts, whole, strict=True) if not w]))
         known = (np.array(g.ids, np.uint32) for g in given)
         return [next(known) if w else next(rest) for w in whole]
 
     def _encode_by_words(self, texts: list[str]) -> list[np.ndarray]:
-        # A line's end counts as the space that the library makes of it.
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*parts) - self.seen.keys()
-        if len(self.seen) + len(new) > _STRETCHES_KEPT:
-            self.seen.clear()
-            new = set().union(*parts)
-        if len(self.words) + len(new) > _WORDS_KEPT:
-            self.words.clear()
-        halves = {x: (x.lower(), "") if x.isalnum() and x.isascii() else _halves(x) for x in new}
-        self._learn(set(chain.from_iterable(halves.values())) - self.words.keys())
-        words = self.words
-        self.seen.update((x, words[a] + words[b]) for x, (a, b) in halves.items())
-        look = self.seen.__getitem__
-        out = [np.frombuffer(b"".join(map(look, p)), "<u4") for p in parts]
-        for x in [x for x in new if len(x) > 64]:
-            del self.seen[x]
-            self.words.pop(halves[x][0], None)
-        return out
-
-    def _learn(self, words: set[str]) -> None:
-        piece, known = self.model.tokenize, self.words
-        rest = []
+        if all(len(t) <= _LONG for t in texts):
+            return self._encode_batch(texts)
+        return [np.concatenate([self._encode_batch([part])[0] for part in _parts(t)]) for t in texts]
+
+    def _encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        words, first = _split(*columns.text_buffer(pa.array(texts, pa.large_string())))
+        coded = words.dictionary_encode()
+        kinds = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter(map(self.words.get, kinds, repeat(-1)), np.int64, len(kinds))
+        if len(self.words) + int((number < 0).sum()) > _WORDS_KEPT:
+            self._forget()
+            number[:] = -1
+        # Long words come last, and are not kept.
+        new = [i for i in np.flatnonzero(number < 0).tolist() if len(kinds[i]) <= 64]
+        kept, short = len(self.words), len(new)
+        new += [i for i in np.flatnonzero(number < 0).tolist() if len(kinds[i]) > 64]
+        number[new] = np.arange(kept, kept + len(new))
+        ids, sizes = self._learn([kinds[i] for i in new])
+        ids = np.concatenate([self.ids, ids])
+        ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        self.words.update((kinds[i], n) for n, i in enumerate(new[:short], kept))
+        self.ends = ends[: kept + short + 1]
+        self.ids = ids[: self.ends[-1]]
+        number = number[coded.indices.to_numpy()]
+        start, size = ends[number], np.diff(ends)[number]
+        until = np.append(0, np.cumsum(size))
+        every = ids[np.arange(until[-1]) + np.repeat(start - until[:-1], size)]
+        edges = until[first].tolist()
+        return [every[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+    def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in turn, and each word's number of ids."""
+        piece, letters, shown = self.model.tokenize, _LETTERS.fullmatch, codecs.charmap_decode
+        rest = {w: _halves(w.decode()) for w in words if not (w.isalpha() and len(w) <= 64 or letters(w))}
+        known = self._by_rules({x for halves in rest.values() for x in halves})
+        ids, sizes = [], []
         for w in words:
-            if not _LETTERS.fullmatch(w):
-                rest.append(w)
-                continue
-            lower = w.lower()
-            if not lower.isascii():
-                lower = lower.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            got = [token.id for token in piece(lower)]
-            known[w] = struct.pack(f"<{len(got)}I", *got)
-        words = rest
+            if w in rest:
+                got = [i for x in rest[w] for i in known[x]]
+            else:
+                lower = w.lower() if w.isascii() else w.decode().lower().encode()
+                got = [token.id for token in piece(shown(lower, "strict", _BYTE_LETTERS)[0])]
+            ids += got
+            sizes.append(len(got))
+        return np.array(ids, np.uint32), np.array(sizes, np.int64)
+
+    def _by_rules(self, words: set[str]) -> dict[str, list[int]]:
+        known = {}
         plain = sorted(w for w in words if w.isalpha() and len(w) <= 64)
         groups = [plain[i : i + 64] for i in range(0, len(plain), 64)]
         other = [w for w in words if not (w.isalpha() and len(w) <= 64)]
@@ -267,21 +317,53 @@ class WordTokenizer:
                 if len(cut) != len(group) or np.isnan(number).any():
                     other += group  # some word isn't one piece
                     continue
-                ids = np.array(got.ids, "<u4").tobytes()
-                ends = [*cut[1:], len(got.ids)]
-                self.words.update((w, ids[4 * a : 4 * b]) for w, a, b in zip(group, cut, ends, strict=True))
+                ids = got.ids
+                known.update((w, ids[a:b]) for w, a, b in zip(group, cut, [*cut[1:], len(ids)], strict=True))
         for i in range(0, len(other), 1 << 14):
             some = other[i : i + (1 << 14)]
             got = self.library.encode_batch_fast(some, add_special_tokens=False)
-            self.words.update((w, np.array(g.ids, "<u4").tobytes()) for w, g in zip(some, got, strict=True))
+            known.update((w, g.ids) for w, g in zip(some, got, strict=True))
+        return known
 
 
 def _halves(stretch: str) -> tuple[str, str]:
-    """A stretch's word and closing punctuation; the word in lower case where that is plain."""
+    """A stretch's word and closing punctuation."""
     word = stretch.rstrip(".,!?;:*#%&$")
-    if not word or not word[-1].lower()[-1].isalnum():  # a lone mark would join the punctuation
+    # A lone mark, also one that normal form C parts from its letter, would join the punctuation.
+    if not word or unicodedata.category(unicodedata.normalize("NFC", word)[-1].lower()[-1])[0] not in "LN":
         return stretch, ""
-    return word.lower() if word.isascii() else word, stretch[len(word) :]
+    return word, stretch[len(word) :]
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A long text in parts that end at a space."""
+    a = 0
+    while 0 <= (b := text.find(" ", a + _LONG)):
+        yield text[a:b]
+        a = b
+    yield text[a:]
+
+
+def _split(data: np.ndarray, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The words between the borders, ASCII in lower case but before what may be a combining mark,
+    and of each text the number of words before it; n+1 long."""
+    data = data.copy()
+    data[:-1] += ((data[:-1] - 65 < 26) & (data[1:] < 0xC4)).view(np.uint8) << 5
+    kind = np.frombuffer(bytearray(data.tobytes().translate(_KIND)), np.uint8)
+    high = np.flatnonzero(data[:-1] == 0xC3)
+    high = high[_LATIN[data[high + 1]]]
+    kind[high] = kind[high + 1] = _ALNUM
+    inside = kind != _SPACE
+    begin = np.ones(len(kind), bool)
+    begin[1:] = np.frombuffer((kind[:-1] << 3 | kind[1:]).tobytes().translate(_BORDER), bool)
+    begin[at[:-1][at[:-1] < len(kind)]] = True
+    end = np.append(begin[1:] | ~inside[1:], True)[: len(kind)] & inside
+    starts = np.flatnonzero(begin & inside)
+    offsets = np.append(0, np.cumsum(np.flatnonzero(end) + 1 - starts))
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
+    )
+    return words, np.searchsorted(starts, at)
 
 
 @functools.lru_cache(maxsize=2)
@@ -313,17 +395,23 @@ def _unpack(data: bytes) -> np.ndarray:
     return halves[: len(halves) // 2] | halves[len(halves) // 2 :] << 16
 
 
+def _added(total: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
+    """The counts with those of some more ids."""
+    got = np.bincount(np.concatenate([np.zeros(0, np.int64), *ids]), minlength=len(total))
+    got[: len(total)] += total
+    return got
+
+
 def _counts(coded: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+        total, held, size = np.zeros(0, np.int64), [], 0
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                got = np.bincount(_unpack(data))
-                if len(got) > len(total):
-                    got[: len(total)] += total
-                    total = got
-                else:
-                    total[: len(got)] += got
+                held.append(_unpack(data))
+                size += len(held[-1])
+                if size > 1 << 20:
+                    total, held, size = _added(total, held), [], 0
+        total = _added(total, held)
         ids = np.flatnonzero(total)
         yield pa.record_batch({"id": ids, "n": total[ids]})
 

@@ -289,6 +289,40 @@ def test_words_of_letters_pass_the_rules_by(monkeypatch):
     assert not asked
 
 
+def test_a_word_is_learned_once_however_it_stands():
+    """Capitals, brackets and other punctuation around a word make no other words of it."""
+    library = tokenizers.Tokenizer.from_file(queries.WORD_BPE)
+    mine = huffman.WordTokenizer(queries.WORD_BPE)
+    text = 'Word, (word) "WORD" word\tword-word;\u00C9t\u00E9. (\u00E9t\u00E9)'
+    asked = []
+
+    class Model:
+        def tokenize(self, word):
+            asked.append(word)
+            return library.model.tokenize(word)
+
+    mine.model = Model()
+    for _ in range(2):
+        assert mine.encode([text, "word"])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert asked[0] == "word" and len(asked) == 3  # of the other one, with and without a capital letter
+
+
+def test_borders_of_words_as_the_library(monkeypatch):
+    """Every pair of bytes' characters, letters that normal form C parts, long texts and words, a full table."""
+    library = tokenizers.Tokenizer.from_file(queries.WORD_BPE)
+    first = [chr(c) for c in range(256)]
+    texts = ["x" + a + " ".join(a + b + "y" for b in first) for a in first]
+    texts += ["\u00E9\u0958, \u0958.b \uFB2A!", "H\u0331 h\u0331 I\u0307, A\u0301. (A\u0301)", "", "A", "\u0301b", "'S 's'st ('s", "w" * 70 + ". " + "W" * 70]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for kept, long in ((1 << 20, 1 << 22), (50, 1 << 22), (1 << 20, 20)):
+        monkeypatch.setattr(huffman, "_WORDS_KEPT", kept)
+        monkeypatch.setattr(huffman, "_LONG", long)
+        mine = huffman.WordTokenizer(queries.WORD_BPE)
+        for a in range(0, len(texts), 40):
+            assert [ids.tolist() for ids in mine.encode(texts[a : a + 40])] == want[a : a + 40]
+        assert not any(len(w) > 64 for w in mine.words) and len(mine.ids) == mine.ends[-1]
+
+
 # --- pipeline ------------------------------------------------------------------------------
 
 
