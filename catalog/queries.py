@@ -24,7 +24,7 @@ from catalog.inputs import (
 from covey.functions.documents import as_documents
 from covey.functions.keys import ContentKey
 from covey import errors
-from covey.operators import clustering, features, medians, preparation, profiles, sampling, words
+from covey.operators import clustering, features, lloyd, medians, preparation, profiles, sampling, words
 from covey.params import Params
 from covey.plans.scoring import run_scoring, score
 from covey.plans.training import TrainingOutputs, run_training, train
@@ -584,14 +584,16 @@ def k_sweep_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stored(table(spark, sf_dir, "lineitem").select(*LINE_FEATURES))
     n = stored.rows().count()
     prepared, vectors = clustering.training_vectors(stored, LINE_FEATURES, "median", 0.0)
-    swept = clustering.sweep(vectors, n, len(LINE_FEATURES), Params(k_max=4))
     checked = []
-    for k, found in swept.scores.collect():
-        assigned = clustering.fit_kmeans(vectors, k, Params().seed).transform(vectors)
-        equal = abs(found - _silhouette_from_sums(assigned, len(LINE_FEATURES))) < 1e-9
-        # Jobs of its own: some, and none that another k has too.
-        others = {job for other, ids in swept.jobs.items() if other != k for job in ids}
-        checked.append((k, equal, bool(swept.jobs[k]) and others.isdisjoint(swept.jobs[k]), n))
+    # One packing of the vectors for all fits.
+    with lloyd.packed(vectors, preparation.VECTOR):
+        swept = clustering.sweep(vectors, n, len(LINE_FEATURES), Params(k_max=4))
+        for k, found in swept.scores.collect():
+            assigned = clustering.fit_kmeans(vectors, k, Params().seed).transform(vectors)
+            equal = abs(found - _silhouette_from_sums(assigned, len(LINE_FEATURES))) < 1e-9
+            # Jobs of its own: some, and none that another k has too.
+            others = {job for other, ids in swept.jobs.items() if other != k for job in ids}
+            checked.append((k, equal, bool(swept.jobs[k]) and others.isdisjoint(swept.jobs[k]), n))
     vectors.unpersist()
     return spark.createDataFrame(checked, "k int, equal boolean, own_jobs boolean, n long")
 

@@ -9,15 +9,19 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScalerModel
+from pyspark.mllib.common import _py2java
+from pyspark.mllib.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covey.errors import TooFewRowsForSweep
 from covey.functions.columns import column
+from covey.operators.lloyd import first_centers, iterate, mean_silhouette, packed, plan_packing
 from covey.operators.preparation import VECTOR, Preparation, fit_preparation
 from covey.params import Params
 from covey.sources.layout import StoredRows
@@ -46,15 +50,28 @@ def training_vectors(
         chosen = rows.select(*[column(c) for c in columns])
         preparation = fit_preparation(chosen, columns, strategy, relative_error)
         vectors = preparation.transform(chosen).select(VECTOR)
+        plan_packing(vectors, VECTOR)
         return preparation, vectors.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit_kmeans(vectors: DataFrame, k: int, seed: int) -> KMeansModel:
-    """The vectors go through the iterations as blocks of matrices: a third of the memory that
-    rows with their norms take, and no vector is made anew for each iteration."""
-    return KMeans(
-        featuresCol=VECTOR, predictionCol=PREDICTION, k=k, seed=seed, solver="block"
-    ).fit(vectors)
+    """Spark ML's k-means over the vectors packed as matrices, which all fits within one ``packed``
+    share. The same random numbers and rules as the estimator's own fit, so the same centres but
+    for the rounding of sums."""
+    estimator = KMeans(featuresCol=VECTOR, predictionCol=PREDICTION, k=k, seed=seed, solver="block")
+    with packed(vectors, VECTOR) as rows:
+        first = first_centers(rows, k, seed, estimator.getInitSteps())
+        centers = iterate(rows.blocks, first, estimator.getTol(), estimator.getMaxIter())
+    return _model_of(estimator, centers, vectors.sparkSession)
+
+
+def _model_of(estimator: KMeans, centers: np.ndarray, spark: SparkSession) -> KMeansModel:
+    """Spark ML's model for centres found otherwise."""
+    jvm = spark.sparkContext._jvm
+    found = _py2java(spark.sparkContext, [Vectors.dense(center) for center in centers])
+    known = jvm.org.apache.spark.mllib.clustering.KMeansModel(found)
+    model = KMeansModel(jvm.org.apache.spark.ml.clustering.KMeansModel(estimator.uid, known))
+    return estimator._copyValues(model)
 
 
 def silhouette(
@@ -80,6 +97,17 @@ def silhouette(
         raise
 
 
+def silhouette_of(model: KMeansModel, vectors: DataFrame, metric_name: str, distance_measure: str) -> float:
+    """``silhouette`` of a model's own clusters. Of squared distances it is taken over the packed
+    vectors, of other ones by the evaluator."""
+    if (metric_name, distance_measure) != ("silhouette", "squaredEuclidean"):
+        return silhouette(
+            model.transform(vectors), metric_name=metric_name, distance_measure=distance_measure
+        )
+    with packed(vectors, VECTOR) as rows:
+        return mean_silhouette(rows.blocks, np.array(model.clusterCenters()))
+
+
 @dataclass(frozen=True)
 class Sweep:
     """Every score, the model that won (``None`` when no score beats the floor), and the ids of
@@ -129,9 +157,10 @@ def sweep(vectors: DataFrame, rows: int, width: int, params: Params) -> Sweep:
         for k in ks
     ]
     try:
-        results = _all_or_cancel(
-            spark, tag, fits, _fits_at_a_time(spark, rows, width, len(ks), params)
-        )
+        with packed(vectors, VECTOR):
+            results = _all_or_cancel(
+                spark, tag, fits, _fits_at_a_time(spark, rows, width, len(ks), params)
+            )
     finally:
         if own:
             vectors.unpersist()
@@ -180,11 +209,7 @@ def _fit_and_score(
     context.addJobTag(tag)
     earlier = set(context.statusTracker().getJobIdsForGroup(group))
     model = fit_kmeans(vectors, k, params.seed)
-    score = silhouette(
-        model.transform(vectors),
-        metric_name=params.metric_name,
-        distance_measure=params.distance_measure,
-    )
+    score = silhouette_of(model, vectors, params.metric_name, params.distance_measure)
     jobs = sorted(set(context.statusTracker().getJobIdsForGroup(group)) - earlier)
     return k, model, score, jobs
 

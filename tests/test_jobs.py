@@ -6,13 +6,15 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from catalog import nearest
 from covey import Params, TrainingOutputs, errors, run_scoring, run_training, score, train
+from covey.functions import xorshift
 from covey.functions.flatten import name_columns
-from covey.operators import clustering, preparation, profiles
+from covey.operators import clustering, lloyd, preparation, profiles
 from covey.operators.features import select_features
 from covey.plans import training
 from covey.plans.wordcount import word_count_job
@@ -442,3 +444,77 @@ def test_a_fit_by_blocks_is_the_fit_by_rows(spark, monkeypatch):
     by_rows = KMeans(k=3, seed=42, solver="row").fit(vectors)
     for got, expected in zip(model.clusterCenters(), by_rows.clusterCenters(), strict=True):
         assert list(got) == pytest.approx(list(expected), abs=1e-9)
+
+
+def test_a_fit_starts_and_ends_as_the_library_s(spark):
+    """The same first centres and as many rows in every cluster, for rows in uneven partitions."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    columns = ["CAST(id * 7919 % 1001 AS DOUBLE) / 100 AS a", "CAST(id * 31 % 101 AS DOUBLE) / 10 AS b", "id % 7 - 3.0D AS c"]
+    rows = spark.range(0, 60_000, 1, 5).where("id NOT BETWEEN 9000 AND 30000").selectExpr(*columns)
+    vectors = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows).select("features")
+    with lloyd.packed(vectors, "features") as held:
+        for k, seed in ((2, 42), (5, 1), (9, -7)):
+            library = KMeans(k=k, seed=seed, solver="row")
+            first = library.fit(vectors, {library.maxIter: 0}).clusterCenters()
+            assert np.allclose(lloyd.first_centers(held, k, seed, 2), first, rtol=0, atol=1e-12)
+            expected, model = library.fit(vectors), clustering.fit_kmeans(vectors, k, seed)
+            assert np.allclose(model.clusterCenters(), expected.clusterCenters(), rtol=0, atol=1e-9)
+            assigned = model.transform(vectors)
+            counts = [sorted(map(tuple, m.transform(vectors).groupBy("prediction").count().collect())) for m in (model, expected)]
+            assert counts[0] == counts[1]
+            score = clustering.silhouette_of(model, vectors, "silhouette", "squaredEuclidean")
+            assert score == pytest.approx(clustering.silhouette(assigned), abs=1e-9)
+
+
+def test_random_numbers_are_spark_s(spark):
+    for seed in (0, 42, -7, 2**40 + 3):
+        spark_s = spark.sparkContext._jvm.org.apache.spark.util.random.XORShiftRandom(seed)
+        first, state = xorshift.doubles(xorshift.hashed(seed), 13)
+        assert [*first, *xorshift.doubles(state, 20)[0]] == [spark_s.nextDouble() for _ in range(33)]
+
+
+@pytest.mark.parametrize("values, clusters", [([3.0], 1), ([1.0, 2.0, 5.0], 3), ([-0.0, 0.0, 4.0], 2)])
+def test_a_fit_of_fewer_values_than_clusters(spark, values, clusters):
+    """A centre for each value; Spark's fit by blocks fails here."""
+    rows = [(Vectors.dense([values[i % len(values)]]),) for i in range(60)]
+    vectors = spark.createDataFrame(rows, ["features"]).repartition(4).persist()
+    model = clustering.fit_kmeans(vectors, 4, 42)
+    assert sorted(c[0] for c in model.clusterCenters()) == sorted({v + 0.0 for v in values})
+    score = clustering.silhouette_of(model, vectors, "silhouette", "squaredEuclidean")
+    assert math.isnan(score) if clusters == 1 else score == pytest.approx(1.0)
+    vectors.unpersist()
+
+
+def test_rows_of_a_training_are_packed_once(spark, products, monkeypatch):
+    """Fits read plain numbers: the vectors are packed once for all k, and not stored as rows too."""
+    packings, made, stored = [], lloyd.Packed.__init__, []
+    monkeypatch.setattr(lloyd.Packed, "__init__", lambda self, *given: packings.append(1) or made(self, *given))
+    sweep = clustering.sweep
+
+    def watched(vectors, *given):
+        found = sweep(vectors, *given)
+        stored.append(spark.sparkContext._jsc.sc().getRDDStorageInfo())
+        return found
+
+    monkeypatch.setattr(training, "sweep", watched)
+    spark.catalog.clearCache()
+    train(products, PARAMS)
+    assert len(packings) == 1
+    assert not [info for info in stored[0] if info.numCachedPartitions()]
+    assert not lloyd._SHARED
+
+
+def test_blocks_do_not_depend_on_batches(spark):
+    rows = spark.range(0, 50_000, 1, 3).selectExpr("array(id * 1.0D, id % 10 * 1.0D, 0.0D) AS z")
+    vectors = rows.select(array_to_vector("z").alias("features"))
+
+    def blocks():
+        with lloyd.packed(vectors, "features") as held:
+            return held.blocks.collect()
+
+    one = blocks()
+    assert len(one) == 3 and [(p, w) for p, w, _ in one] == [(0, 3), (1, 3), (2, 3)]
+    with shared.settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "77"}):
+        assert blocks() == one
