@@ -29,8 +29,9 @@ from covey.functions.columns import column
 
 # A block and what is made of it stay in a core's cache.
 _CELLS_PER_BLOCK = 1 << 16
-# A Python task takes about 0.1 s to start, so a pass has few of them, each over many partitions.
-_TASKS_PER_CORE = 2
+# A Python task takes about 0.1 s to start, so where there are more partitions than cores it has
+# some of them, but no more than it could read again when it fails.
+_PARTITIONS_A_TASK = 16
 _BLOCK = "partition int, width int, cells binary"
 _PLANNED: weakref.WeakKeyDictionary[DataFrame, Packed] = weakref.WeakKeyDictionary()
 _SHARED: weakref.WeakKeyDictionary[DataFrame, Packed] = weakref.WeakKeyDictionary()
@@ -185,8 +186,9 @@ def _added(blocks: RDD, numbers: Callable[[np.ndarray], list]) -> list:
 
 
 def _by_task(blocks: RDD, work: Callable[[Iterable[tuple[int, int, bytes]]], list]) -> list:
-    tasks = min(blocks.getNumPartitions(), _TASKS_PER_CORE * blocks.context.defaultParallelism)
-    return blocks.coalesce(tasks).mapPartitions(work).collect()
+    partitions = blocks.getNumPartitions()
+    few = min(partitions, blocks.context.defaultParallelism)
+    return blocks.coalesce(max(few, math.ceil(partitions / _PARTITIONS_A_TASK))).mapPartitions(work).collect()
 
 
 def _row(number: int, place: int, part: Iterable[tuple[int, int, bytes]]) -> list[np.ndarray]:
