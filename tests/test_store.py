@@ -152,6 +152,14 @@ def test_a_failing_task_leaves_the_old_rows(spark, store, tmp_path):
     assert staged(tmp_path) == before
 
 
+def test_a_task_that_outlives_its_run_leaves_nothing(tmp_path):
+    client, batch = FolderStore({"uri": str(tmp_path)}), pa.record_batch({"i": pa.array([1], pa.int32())})
+    client.put("things", "run", "early", batch)
+    client.abort("things", "run")
+    client.put("things", "run", "late", batch)
+    assert staged(tmp_path) == []
+
+
 def test_a_repeated_attempt_adds_nothing(tmp_path):
     source = documents.DocumentSource({"client": "covey.sinks.folder_store:FolderStore", "uri": str(tmp_path), "collection": "things", "batch_rows": "2"})
     writer = source.writer(T.StructType.fromDDL("i int"), False)
